@@ -96,6 +96,11 @@ def merge_join(
     )
 
 
+def choose_strategy(versions: DataFrame, key: str) -> str:
+    """By the versions of the busiest key: few are tested one by one, many are merged."""
+    return "interval" if largest_group(versions, [key]) <= VERSIONS_PER_ROW else "merge"
+
+
 def asof_join(
     left: DataFrame,
     versions: DataFrame,
@@ -106,12 +111,10 @@ def asof_join(
 ) -> DataFrame:
     """Left as-of join; every left row comes out exactly once.
 
-    "auto" counts the versions of the busiest key. Up to VERSIONS_PER_ROW the
-    residual is cheap and the left side may not even be shuffled; beyond it the
-    work would grow with rows times versions, so both sides are merged.
+    Up to VERSIONS_PER_ROW the residual is cheap and the left side may not even
+    be shuffled; beyond it the work would grow with rows times versions.
     """
     if strategy == "auto":
-        few = largest_group(versions, [key]) <= VERSIONS_PER_ROW
-        strategy = "interval" if few else "merge"
+        strategy = choose_strategy(versions, key)
     join = interval_join if strategy == "interval" else merge_join
     return join(left, versions, key, at, take)

@@ -11,6 +11,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asterline.functions.scalars import (
     iban_valid,
@@ -83,7 +84,7 @@ def base58_checked(address: str) -> bool:
     return digest[:4] == raw[21:]
 
 
-@F.pandas_udf("array<boolean>")
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
 def _base58_flags(found: pd.Series) -> pd.Series:
     return found.map(lambda texts: [base58_checked(text) for text in texts])
 

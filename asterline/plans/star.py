@@ -20,6 +20,7 @@ from asterline.operators.asof import asof_join
 from asterline.operators.quality import keep
 from asterline.operators.scd2 import versions
 from asterline.operators.surrogate import assign_keys
+from asterline.operators.timeline import with_neighbour
 
 UNKNOWN_SINCE = "1900-01-01 00:00:00"
 
@@ -97,13 +98,9 @@ def resolved_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def fact_order_line(
-    lines: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame
-) -> DataFrame:
-    """Lines resolved to the versions true when the order was placed."""
-    placed = lines.join(resolved_orders(orders, customers), "order_id")
-    priced = asof_join(placed, products, "product_id", "ordered_at", ["product_key"])
-    fact = priced.select(
+def fact_rows(resolved: DataFrame) -> DataFrame:
+    """Keys and additive measures, Unknown where nothing was found, row rules applied."""
+    fact = resolved.select(
         "order_id",
         "line_number",
         known_key("customer_key").alias("customer_key"),
@@ -116,6 +113,14 @@ def fact_order_line(
     return keep(fact, FLOW_RULES["fact_order_line"])
 
 
+def fact_order_line(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """Lines resolved to the versions true when the order was placed."""
+    placed = lines.join(resolved_orders(orders, customers), "order_id")
+    return fact_rows(asof_join(placed, products, "product_id", "ordered_at", ["product_key"]))
+
+
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Partitioned by day; rebalanced at run time so that a busy day is split
     over several tasks and quiet days do not leave one small file per task."""
@@ -160,7 +165,5 @@ def star_join(fact: DataFrame, products: DataFrame, customers: DataFrame, dates:
 
 def interval_check(dim: DataFrame, key: str) -> DataFrame:
     """Each version with its successor's start and whether the two abut."""
-    from asterline.operators.timeline import with_neighbour
-
     marked = with_neighbour(dim, [key], START, F.col(START), "next_start")
     return marked.withColumn("abuts", F.col("next_start").eqNullSafe(F.col(END)))
