@@ -153,11 +153,17 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return documents.unionByName(pages)
 
 
+# Fixed value: the first published address of its kind; with another last letter
+# its checksum fails.
+WALLET = "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa"
+
+
 def record_cards(spark: SparkSession, sf: str) -> DataFrame:
     """One text per customer with identifiers the documents lack, valid and not.
 
     Made from the customer key: every third card has no context words, every
-    second account number a wrong check, every fourth licence a wrong digit.
+    second account number a wrong check, every fourth licence a wrong digit, and
+    four of five wallets a wrong last letter.
     """
     k = F.col("c_custkey")
 
@@ -182,6 +188,7 @@ def record_cards(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("dea AB"), digits(k, 6), check.cast("string")),
             F.concat(F.lit("account DE"), digits(control, 2), digits(k, 18)),
             F.concat(word("phone"), F.lit(" +1 (555) 010-"), digits(k, 4)),
+            F.concat(F.lit("wallet "), F.lit(WALLET[:-1]), F.when(k % 5 == 0, "a").otherwise("b")),
         ).alias("text"),
     )
 

@@ -24,7 +24,8 @@ MODEL["m_card"] = f"""
         (({_D(5)} + {_D(3)} + {_D(1)} + 2 * ({_D(4)} + {_D(2)} + {_D(0)}) + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END) % 10),
       'account DE' || lpad(CAST(CASE WHEN k % 2 = 0 THEN r WHEN r < 97 THEN r + 1 ELSE r - 1 END AS VARCHAR), 2, '0')
         || lpad(CAST(k AS VARCHAR), 18, '0'),
-      CASE WHEN k % 3 <> 0 THEN 'phone' ELSE 'ref' END || ' +1 (555) 010-' || lpad(CAST(k AS VARCHAR), 4, '0')) AS text
+      CASE WHEN k % 3 <> 0 THEN 'phone' ELSE 'ref' END || ' +1 (555) 010-' || lpad(CAST(k AS VARCHAR), 4, '0'),
+      'wallet {M.WALLET[:-1]}' || CASE WHEN k % 5 = 0 THEN 'a' ELSE 'b' END) AS text
     FROM (SELECT c_custkey AS k, c_name, 98 - ((c_custkey % 97) * 27 + 131400) % 97 AS r FROM customer)"""
 MODEL["m_all_text"] = "SELECT * FROM m_corpus UNION ALL SELECT * FROM m_card"
 MODEL["m_line"] = r"""
@@ -59,6 +60,9 @@ def _sql_valid(entity: str) -> tuple[str, float]:
     if entity == "MEDICAL_LICENSE":
         d = [f"CAST(substr(m, {i + 2}, 1) AS INTEGER)" for i in range(8)]
         return f"({d[1]} + {d[3]} + {d[5]} + 2 * ({d[2]} + {d[4]} + {d[6]})) % 10 = {d[7]}", 1.0
+    if entity == "CRYPTO":
+        # Every address in the given tables is a card's; this one alone is valid.
+        return f"m = '{M.WALLET}'", 1.0
     if entity == "US_SSN":
         issued = (
             "substr(m, 1, 3) NOT IN ('000', '666') AND substr(m, 1, 3) < '900' "
@@ -79,10 +83,7 @@ def _findings_sql(*entities: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-CHECKED = tuple(e for e in P.ENTITIES if e != "CRYPTO")
-# The given texts hold no valid base58 address, so CRYPTO adds no row here; the
-# tests cover valid ones.
-MODEL["m_finding"] = _findings_sql(*CHECKED)
+MODEL["m_finding"] = _findings_sql(*P.ENTITIES)
 
 
 def _text(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +124,12 @@ def pii_phone(spark: SparkSession, sf: str) -> DataFrame:
     return P.findings(_text(spark, sf), ("PHONE_NUMBER",))
 
 
-@query("pii_crypto")
+@query(
+    "pii_crypto",
+    f"""SELECT source, m = '{M.WALLET}' AS valid, count(*) AS candidates
+        FROM (SELECT source, unnest(regexp_extract_all(line, '{P.PATTERNS["CRYPTO"]}')) AS m FROM m_line)
+        GROUP BY 1, 2""",
+)
 def pii_crypto(spark: SparkSession, sf: str) -> DataFrame:
     """Address shapes per source and whether their base58 checksum holds."""
     return (
