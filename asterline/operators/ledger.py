@@ -25,6 +25,7 @@ from asterline.functions.scalars import (
     entry_suffix,
 )
 from asterline.operators.timeline import with_position
+from asterline.session import cut
 
 SEGMENT = 4096
 
@@ -90,7 +91,7 @@ def seal(ledger: DataFrame, segment: int = SEGMENT) -> list[DataFrame]:
     levels: list[DataFrame] = []
     level = ledger
     while (level.agg(F.max("sequence")).first()[0] or 0) >= segment:
-        level = anchors(level, segment).checkpoint()
+        level = cut(anchors(level, segment))
         levels.append(level)
     return levels
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asterline.session import cut
+
 
 def edges(log: DataFrame) -> DataFrame:
     """Distinct (source, target); a write without a source is no edge."""
@@ -50,14 +52,14 @@ def impact(log: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataFrame:
     last frontier with the edges and keeps what was not reached before; reached
     rows are checkpointed, so the plan does not grow with the depth.
     """
-    graph = edges(log).checkpoint()
+    graph = cut(edges(log))
     frontier = roots.select(F.col("name").alias("root"), F.col("name").alias("affected")).distinct()
-    reached = frontier.withColumn("depth", F.lit(0)).checkpoint()
+    reached = cut(frontier.withColumn("depth", F.lit(0)))
     for depth in range(1, max_depth + 1):
         last = reached.filter(F.col("depth") == depth - 1).select("root", F.col("affected").alias("source"))
         step = last.join(graph, "source").select("root", F.col("target").alias("affected")).distinct()
         new = step.join(reached.select("root", "affected"), ["root", "affected"], "left_anti")
-        new = new.withColumn("depth", F.lit(depth)).checkpoint()
+        new = cut(new.withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             return reached.filter("depth > 0")
         reached = reached.unionByName(new)

@@ -613,14 +613,13 @@ def win_intervals_abut(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "sort_history",
     """SELECT customer_id, "__START_AT" AS valid_from, email_domain FROM m_dim_customer
-       WHERE customer_id = 100 ORDER BY valid_from""",
+       ORDER BY customer_id, valid_from""",
 )
 def sort_history(spark: SparkSession, sf: str) -> DataFrame:
     return (
         star(spark, sf)
-        .dim_customer.filter("customer_id = 100")
-        .select("customer_id", F.col(START).alias("valid_from"), "email_domain")
-        .orderBy("valid_from")
+        .dim_customer.select("customer_id", F.col(START).alias("valid_from"), "email_domain")
+        .orderBy("customer_id", "valid_from")
     )
 
 

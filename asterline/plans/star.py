@@ -116,8 +116,12 @@ def fact_rows(resolved: DataFrame) -> DataFrame:
 def fact_order_line(
     lines: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Lines resolved to the versions true when the order was placed."""
-    placed = lines.join(resolved_orders(orders, customers), "order_id")
+    """Lines resolved to the versions true when the order was placed.
+
+    Lines and orders grow together, so neither is ever a small side: they are
+    merged, also where a compressed file would look small enough to broadcast.
+    """
+    placed = lines.join(resolved_orders(orders, customers).hint("merge"), "order_id")
     return fact_rows(asof_join(placed, products, "product_id", "ordered_at", ["product_key"]))
 
 

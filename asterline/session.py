@@ -62,3 +62,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut a loop's lineage with a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
