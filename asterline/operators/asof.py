@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asterline.contracts import END, START
-from asterline.operators.timeline import SLICE, attach, largest_group, slice_of, slice_width
+from asterline.operators.timeline import SLICE, largest_group, slice_of, slice_width
 
 # Versions per key up to which a hash or merge join may test each of them.
 VERSIONS_PER_ROW = 64
@@ -66,17 +66,8 @@ def merge_join(
     parts = ["_k", "_salt"]
     width = slice_width(both, parts, "_at", rows_per_task)
 
-    def fill(partition: Sequence[str]):
-        frame = (
-            Window.partitionBy(*partition)
-            .orderBy("_at", "_kind")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return F.last("_version", ignorenulls=True).over(frame)
-
-    if width is None:
-        filled = both.withColumn("_hit", fill(parts)).filter("_kind = 1")
-    else:
+    if width is not None:
+        # Each slice starts with a marker that holds the last version before it.
         both = both.withColumn(SLICE, slice_of(both, "_at", width))
         cells = [*parts, SLICE]
         before = (
@@ -85,11 +76,16 @@ def merge_join(
         tails = both.groupBy(*cells).agg(
             F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_tail")
         )
-        carried = tails.select(*cells, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-        inside = both.withColumn("_in", fill(cells)).filter("_kind = 1")
-        filled = attach(inside, carried, cells).select(
-            "_row", "_at", F.coalesce("_in", "_carry").alias("_hit")
+        markers = tails.select(
+            *cells, F.lit(-1).alias("_kind"), F.last("_tail", ignorenulls=True).over(before).alias("_version")
         )
+        both, parts = both.unionByName(markers, allowMissingColumns=True), cells
+    frame = (
+        Window.partitionBy(*parts)
+        .orderBy(F.col("_kind") >= 0, "_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    filled = both.withColumn("_hit", F.last("_version", ignorenulls=True).over(frame)).filter("_kind = 1")
     holds = F.col("_hit._until").isNull() | (F.col("_at") < F.col("_hit._until"))
     return filled.select(
         "_row.*", *[F.when(holds, F.col(f"_hit.{c}")).alias(c) for c in take]

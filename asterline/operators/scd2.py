@@ -57,7 +57,7 @@ def versions(
     # In the plain plan duplicates are dropped inside the same window: ties are
     # sorted by value and a row followed by its own sequence is not the last.
     ties = [] if unique else [c for c in feed.columns if c not in {*keys, sequence}]
-    following = with_neighbour(feed, keys, sequence, F.col(sequence), END, ties=ties, width=width)
+    following = with_neighbour(feed, keys, sequence, sequence, END, ties=ties, width=width)
     if not unique:
         following = following.filter(F.col(END).isNull() | (F.col(END) > F.col(sequence)))
     return following.select(*changes.columns, F.col(sequence).alias(START), END)

@@ -3,9 +3,10 @@
 A window over (key ORDER BY sequence) sends a whole key to one task. That is
 the right plan until one key holds a large share of the rows. Here the plan is
 chosen from a measurement: while every key fits one task it is the plain
-window; otherwise the timeline is cut into slices of equal width, the window
-runs inside each (key, slice), and a table with one row per slice carries the
-missing neighbour across the cut. Both plans give the same rows.
+window; otherwise the timeline is cut into slices of equal width and the window
+runs inside each (key, slice). What lies across a cut is computed on one row per
+slice and put back among the rows as a marker at the slice's edge, so the rows
+themselves are shuffled once in either plan and both give the same result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ _DAY = 86_400_000_000
 _TIME_WIDTHS = (30 * _DAY, _DAY, _DAY // 24, _DAY // 1440, 1_000_000, 1_000, 1)
 _NUMBER_WIDTHS = tuple(1 << shift for shift in range(40, -1, -4))
 
-SLICE = "_slice"
+SLICE, _KIND = "_slice", "_kind"
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -104,7 +105,7 @@ def with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
     sequence: str,
-    value: Column,
+    value: Column | str,
     name: str,
     step: str = "next",
     ties: Sequence[str] = (),
@@ -112,6 +113,8 @@ def with_neighbour(
 ) -> DataFrame:
     """Add `value` of the next or previous row of the same key."""
     shift = F.lead if step == "next" else F.lag
+    itself = value == sequence if isinstance(value, str) else False
+    value = F.col(value) if isinstance(value, str) else value
     if width == "auto":
         width = slice_width(df, keys, sequence)
     order = [sequence, *ties]
@@ -119,22 +122,31 @@ def with_neighbour(
         return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
     # The value is wrapped, so that "no neighbour" differs from "neighbour is null".
-    sliced = df.withColumn(SLICE, slice_of(df, sequence, width)).withColumn(
-        "_v", F.struct(value.alias("v"))
+    following = step == "next"
+    sliced = df.select(
+        "*",
+        slice_of(df, sequence, width).alias(SLICE),
+        F.lit(0).alias(_KIND),
+        F.struct(value.alias("v")).alias("_v"),
     )
     parts = [*keys, SLICE]
-    pick = F.min_by if step == "next" else F.max_by
-    edges = sliced.groupBy(*parts).agg(
-        pick("_v", F.struct(*order)).alias("_edge")
+    if itself:
+        # A plain minimum or maximum aggregates by hash, without a sort.
+        edge = F.struct((F.min if following else F.max)(sequence).alias("v"))
+    else:
+        edge = (F.min_by if following else F.max_by)("_v", F.struct(*order))
+    edges = sliced.groupBy(*parts).agg(edge.alias("_edge"))
+    markers = edges.select(
+        *parts,
+        F.lit(1 if following else -1).alias(_KIND),
+        shift("_edge").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_v"),
     )
-    across = edges.select(
-        *parts, shift("_edge").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_across")
-    )
-    inside = sliced.withColumn(
-        "_inside", shift("_v").over(Window.partitionBy(*parts).orderBy(*order))
-    )
-    return attach(inside, across, parts).select(
-        *df.columns, F.coalesce("_inside", "_across")["v"].alias(name)
+    inside = Window.partitionBy(*parts).orderBy(_KIND, *order)
+    return (
+        sliced.unionByName(markers, allowMissingColumns=True)
+        .withColumn("_found", shift("_v").over(inside))
+        .filter(F.col(_KIND) == 0)
+        .select(*df.columns, F.col("_found.v").alias(name))
     )
 
 
@@ -151,17 +163,25 @@ def with_position(
     if width is None:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(sequence))
         return df.withColumn(name, number.cast("long") - 1)
-    sliced = df.withColumn(SLICE, slice_of(df, sequence, width))
+    sliced = df.select("*", slice_of(df, sequence, width).alias(SLICE), F.lit(0).alias(_KIND))
     parts = [*keys, SLICE]
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    markers = (
         sliced.groupBy(*parts)
         .count()
-        .select(*parts, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = sliced.withColumn(
-        "_n", F.row_number().over(Window.partitionBy(*parts).orderBy(sequence)).cast("long") - 1
+        .select(
+            *parts,
+            F.lit(-1).alias(_KIND),
+            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"),
+        )
     )
-    return attach(inside, offsets, parts).select(
-        *df.columns, (F.col("_n") + F.col("_offset")).alias(name)
+    inside = Window.partitionBy(*parts).orderBy(_KIND, sequence)
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The marker comes first: it is row 1, and the first row of the slice row 2.
+    place = F.row_number().over(inside) - 2 + F.max("_offset").over(running)
+    return (
+        sliced.unionByName(markers, allowMissingColumns=True)
+        .withColumn(name, place.cast("long"))
+        .filter(F.col(_KIND) == 0)
+        .select(*df.columns, name)
     )

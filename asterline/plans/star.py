@@ -169,5 +169,5 @@ def star_join(fact: DataFrame, products: DataFrame, customers: DataFrame, dates:
 
 def interval_check(dim: DataFrame, key: str) -> DataFrame:
     """Each version with its successor's start and whether the two abut."""
-    marked = with_neighbour(dim, [key], START, F.col(START), "next_start")
+    marked = with_neighbour(dim, [key], START, START, "next_start")
     return marked.withColumn("abuts", F.col("next_start").eqNullSafe(F.col(END)))
