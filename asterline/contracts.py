@@ -269,6 +269,13 @@ OLAP: dict[str, Contract] = {
                 Field("line_revenue", "float64", ge=0),
             ),
             grain=("order_id", "line_number"),
+            rules=(
+                Rule(
+                    "fact_order_line.line_revenue.product",
+                    "abs(line_revenue - quantity * unit_price) <= 0.005",
+                    "INCONSISTENT_MEASURE",
+                ),
+            ),
         ),
     )
 }

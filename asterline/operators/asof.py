@@ -93,7 +93,11 @@ def merge_join(
 
 
 def choose_strategy(versions: DataFrame, key: str) -> str:
-    """By the versions of the busiest key: few are tested one by one, many are merged."""
+    """By the versions of the busiest key: few are tested one by one, many are merged.
+
+    Runs one count over the versions, so hand in a stored dimension rather than
+    a plan that would be computed twice.
+    """
     return "interval" if largest_group(versions, [key]) <= VERSIONS_PER_ROW else "merge"
 
 

@@ -11,8 +11,10 @@ from asterline.operators import evidence as V
 from asterline.operators import ledger as L
 from asterline.operators import lineage as G
 from asterline.operators import quality as Q
+from asterline.operators import scd2
 from asterline.operators.asof import asof_join
 from asterline.plans import model as M
+from asterline.plans import star as S
 from asterline.plans.catalog import MODEL, query
 from asterline.plans.queries_star import _lines_with_time, ntz
 from asterline.plans.warehouse import star
@@ -204,6 +206,43 @@ def dq_isin(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+MODEL["m_read_fact_order_line"] = "SELECT * FROM m_fact"
+MODEL["m_read_dim_date"] = "SELECT * FROM m_dim_date"
+for _name, _unknown in (
+    ("dim_product", "SELECT -1, -1, 'Unknown', 'Unknown', 0.0"),
+    ("dim_customer", "SELECT -1, -1, 'Unknown', 'Unknown'"),
+):
+    MODEL[f"m_read_{_name}"] = f"""
+    SELECT * EXCLUDE (updated_at, "__START_AT", "__END_AT"), "__START_AT" AS valid_from, "__END_AT" AS valid_to,
+           "__END_AT" IS NULL AS is_current FROM m_{_name}
+    UNION ALL {_unknown}, TIMESTAMP '1900-01-01 00:00:00', NULL, true"""
+
+
+@query(
+    "dq_star_contracts",
+    " UNION ALL ".join(
+        p
+        for name, contract in OLAP.items()
+        for p in (_row_sql(contract, f"m_read_{name}"), _key_sql(contract, f"m_read_{name}"))
+        if p
+    ),
+)
+def dq_star_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule of every star table, on the star as its readers see it."""
+    s = star(spark, sf)
+    read = {
+        "dim_product": S.with_unknown(scd2.reader_view(s.dim_product)),
+        "dim_customer": S.with_unknown(scd2.reader_view(s.dim_customer)),
+        "dim_date": s.dim_date,
+        "fact_order_line": s.fact_order_line,
+    }
+    result = None
+    for name, contract in OLAP.items():
+        part = Q.contract_metrics(read[name], contract)
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 LINE_RULES = (
     Rule("order_positive", "order_id > 0"),
     Rule("small_order", "quantity <= 45"),

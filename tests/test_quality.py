@@ -61,7 +61,10 @@ def test_star_contracts(spark):
     assert broken_rules(fact.union(fact), f) == {"fact_order_line.grain"}
     assert broken_rules(dim.withColumn("product_key", F.lit(3).cast("long")), d) == {"dim_product.product_key.unique"}
     assert "dim_product.product_key.ge" in broken_rules(dim.withColumn("product_key", F.lit(-2).cast("long")), d)
-    assert broken_rules(fact.withColumn("line_revenue", F.lit(-1.0)), f) == {"fact_order_line.line_revenue.ge"}
+    assert broken_rules(fact.withColumn("line_revenue", F.lit(-1.0)), f) == {
+        "fact_order_line.line_revenue.ge", "fact_order_line.line_revenue.product",
+    }
+    assert broken_rules(fact.withColumn("unit_price", F.lit(3.0)), f) == {"fact_order_line.line_revenue.product"}
     assert broken_rules(fact.withColumn("date_key", F.lit(999).cast("long")), f) == {"fact_order_line.date_key.ge"}
 
 
