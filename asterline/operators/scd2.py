@@ -21,12 +21,23 @@ from asterline.operators.timeline import (
 )
 
 
-def collapse(changes: DataFrame, keys: Sequence[str], sequence: str = SEQUENCE) -> DataFrame:
+def _values(df: DataFrame, keys: Sequence[str], sequence: str, prefer: Sequence[str]) -> list[str]:
+    """The columns that decide between rows of one (key, sequence), in order."""
+    rest = [c for c in df.columns if c not in {*keys, sequence, *prefer}]
+    return [*prefer, *rest]
+
+
+def collapse(
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence: str = SEQUENCE,
+    prefer: Sequence[str] = (),
+) -> DataFrame:
     """One row per (key, sequence); on a conflict the greatest values win.
 
     Combined on the map side, so a hot group of copies never travels.
     """
-    values = [c for c in changes.columns if c not in {*keys, sequence}]
+    values = _values(changes, keys, sequence, prefer)
     if not values:
         return changes.dropDuplicates([*keys, sequence])
     # Exact copies go first through a hash aggregate; conflicts that remain are few.
@@ -42,25 +53,29 @@ def versions(
     sequence: str = SEQUENCE,
     rows_per_task: int | None = None,
     unique: bool = False,
+    prefer: Sequence[str] = (),
 ) -> DataFrame:
     """Every version of every key, with its half-open validity interval.
 
     `unique` says the feed already holds one row per (key, sequence), e.g.
-    because it comes out of an aggregate on exactly these columns.
+    because it comes out of an aggregate on exactly these columns. Otherwise the
+    row with the greatest values wins; `prefer` names columns to compare first,
+    such as the number of the message, which are not part of the version.
     """
     if fits_one_task(changes, keys, rows_per_task):
         width, feed = None, changes
     else:
-        feed = changes if unique else collapse(changes, keys, sequence)
+        feed = changes if unique else collapse(changes, keys, sequence, prefer)
         width, unique = slice_width(feed, keys, sequence, rows_per_task), True
 
     # In the plain plan duplicates are dropped inside the same window: ties are
     # sorted by value and a row followed by its own sequence is not the last.
-    ties = [] if unique else [c for c in feed.columns if c not in {*keys, sequence}]
+    ties = [] if unique else _values(feed, keys, sequence, prefer)
     following = with_neighbour(feed, keys, sequence, sequence, END, ties=ties, width=width)
     if not unique:
         following = following.filter(F.col(END).isNull() | (F.col(END) > F.col(sequence)))
-    return following.select(*changes.columns, F.col(sequence).alias(START), END)
+    kept = [c for c in changes.columns if c not in prefer]
+    return following.select(*kept, F.col(sequence).alias(START), END)
 
 
 def current(dimension: DataFrame) -> DataFrame:

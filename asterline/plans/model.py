@@ -65,8 +65,8 @@ def order(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_line(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(
+def lines_of(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("long").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
@@ -75,6 +75,10 @@ def order_line(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def order_line(spark: SparkSession, sf: str) -> DataFrame:
+    return lines_of(table(spark, sf, "lineitem"))
+
+
 def price_feed(spark: SparkSession, sf: str) -> DataFrame:
     """(product_id, updated_at, list_price): the greatest price per product and day."""
     return (
@@ -84,21 +88,25 @@ def price_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_price_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same feed with its duplicates, as it arrives."""
-    return table(spark, sf, "lineitem").select(
+def price_changes(lines: DataFrame) -> DataFrame:
+    """The same feed with its duplicates, as it arrives; also from a stream."""
+    return lines.select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_shipdate").alias(SEQUENCE),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("list_price"),
     )
 
 
+def raw_price_feed(spark: SparkSession, sf: str) -> DataFrame:
+    return price_changes(table(spark, sf, "lineitem"))
+
+
 def product_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
     """The feed with the product's name and its category's, folded in once.
 
     The feed's own clock is kept; a renamed category is no change of a product.
     """
-    feed = price_feed(spark, sf) if feed is None else feed
+    feed = raw_price_feed(spark, sf) if feed is None else feed
     described = lookup(
         product(spark, sf).select("product_id", "product_name", "category_id"),
         category(spark, sf),
@@ -114,25 +122,43 @@ def product_source(spark: SparkSession, sf: str, feed: DataFrame | None = None)
     )
 
 
+def domain_changes(orders: DataFrame) -> DataFrame:
+    """(customer_id, updated_at, order_id, email_domain): a domain with every order.
+
+    Of a customer's orders on one day the last number counts.
+    """
+    slug = F.replace(F.lower(F.substring("o_orderpriority", 3, 100)), F.lit(" "), F.lit("-"))
+    return orders.select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias(SEQUENCE),
+        F.col("o_orderkey").alias("order_id"),
+        F.concat(slug, F.lit(".test")).alias("email_domain"),
+    )
+
+
 def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """(customer_id, updated_at, email_domain): the domain named by each day's last order."""
-    priority = F.max_by("o_orderpriority", "o_orderkey")
-    domain = F.replace(F.lower(F.substring(priority, 3, 100)), F.lit(" "), F.lit("-"))
+    """(customer_id, updated_at, email_domain): one row per customer and day."""
     return (
-        table(spark, sf, "orders")
-        .groupBy(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias(SEQUENCE))
-        .agg(F.concat(domain, F.lit(".test")).alias("email_domain"))
+        domain_changes(table(spark, sf, "orders"))
+        .groupBy("customer_id", SEQUENCE)
+        .agg(F.max_by("email_domain", "order_id").alias("email_domain"))
     )
 
 
 def customer_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
-    feed = customer_feed(spark, sf) if feed is None else feed
+    """The feed with the customer's name; columns that order its messages stay."""
+    feed = domain_changes(table(spark, sf, "orders")) if feed is None else feed
     names = customer(spark, sf).select("customer_id", "full_name")
+    extra = [c for c in feed.columns if c not in {"customer_id", "email_domain", SEQUENCE}]
     return lookup(feed, names, "customer_id", ["full_name"]).select(
-        "customer_id", "full_name", "email_domain", SEQUENCE
+        "customer_id", *extra, "full_name", "email_domain", SEQUENCE
     )
 
 
+# What decides between two changes of a customer on one day.
+CUSTOMER_PREFER = ("order_id",)
+
+
 def user_feed(spark: SparkSession, sf: str) -> DataFrame:
     """(user_id, updated_at, state, value): the state changes in the event log."""
     return table(spark, sf, "events").select(

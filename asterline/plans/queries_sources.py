@@ -255,14 +255,7 @@ def ddl_versioned_dims(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sink_streaming_dim(spark: SparkSession, sf: str) -> DataFrame:
     """A dimension target with a declared schema and row rules, filled by a stream."""
-    changes = _stream(spark, sf, "orders").select(
-        F.col("o_custkey").alias("customer_id"),
-        F.concat(
-            F.replace(F.lower(F.substring("o_orderpriority", 3, 100)), F.lit(" "), F.lit("-")),
-            F.lit(".test"),
-        ).alias("email_domain"),
-        F.col("o_orderdate").alias(SEQUENCE),
-    )
+    changes = M.domain_changes(_stream(spark, sf, "orders")).drop("order_id")
     flow = flows.DimensionFlow(
         spark, scratch(spark, "dim"), ["customer_id"], "customer_key", changes.schema,
         FLOW_RULES["dim_customer"],
@@ -313,11 +306,7 @@ def stream_triggered(spark: SparkSession, sf: str) -> DataFrame:
        LEFT JOIN m_category c USING (category_id)""",
 )
 def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    changes = _stream(spark, sf, "lineitem").select(
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_shipdate").alias(SEQUENCE),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("list_price"),
-    )
+    changes = M.price_changes(_stream(spark, sf, "lineitem"))
     return flows.append_stream(M.product_source(spark, sf, changes), scratch(spark, "lookup"))
 
 
@@ -336,13 +325,7 @@ def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_fact", f"SELECT {FACT} FROM m_fact")
 def stream_fact(spark: SparkSession, sf: str) -> DataFrame:
     s = star(spark, sf)
-    lines = _stream(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("long").alias("line_number"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("long").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-    )
+    lines = M.lines_of(_stream(spark, sf, "lineitem"))
     flow = flows.FactFlow(
         spark, scratch(spark, "fact"), M.order(spark, sf), s.dim_product, s.dim_customer
     )
@@ -386,11 +369,7 @@ def stream_expectations(spark: SparkSession, sf: str) -> DataFrame:
 def star_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Everything as triggered streams: both dimensions first, then the fact, then a read."""
     home = scratch(spark, "endtoend")
-    prices = _stream(spark, sf, "lineitem").select(
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_shipdate").alias(SEQUENCE),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("list_price"),
-    )
+    prices = M.price_changes(_stream(spark, sf, "lineitem"))
     product_changes = M.product_source(spark, sf, prices)
     products = flows.DimensionFlow(
         spark, f"{home}/product", ["product_id"], "product_key", product_changes.schema,
@@ -411,15 +390,7 @@ def star_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     p, c = products.materialize(), customers.materialize()
     orders = M.order(spark, sf)
     fact = flows.FactFlow(spark, f"{home}/fact", orders, p, c)
-    fact.run(
-        _stream(spark, sf, "lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").cast("long").alias("line_number"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("long").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-        )
-    )
+    fact.run(M.lines_of(_stream(spark, sf, "lineitem")))
     dates = S.calendar_of(orders, "ordered_at")
     return (
         S.star_join(fact.fact(), p, c, dates)

@@ -14,7 +14,7 @@ from asterline.operators.timeline import with_neighbour
 from asterline.plans import model as M
 from asterline.plans import star as S
 from asterline.plans.catalog import query
-from asterline.plans.warehouse import joined, star
+from asterline.plans.warehouse import dimensions, joined, star
 from asterline.session import stored, table
 
 PRODUCT_VERSION = 'product_id, product_name, category_name, list_price, updated_at, "__START_AT", "__END_AT"'
@@ -29,7 +29,7 @@ def ntz(text: str):
 
 @query("proj_product_source", "SELECT * FROM m_product_source")
 def proj_product_source(spark: SparkSession, sf: str) -> DataFrame:
-    return M.product_source(spark, sf)
+    return M.product_source(spark, sf, M.price_feed(spark, sf))
 
 
 @query(
@@ -307,8 +307,8 @@ FACT = "order_id, line_number, customer_key, product_key, date_key, quantity, un
 @query("fact_order_line", f"SELECT {FACT} FROM m_fact")
 def fact_order_line(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: lines at the versions true when ordered, built from the raw tables."""
-    products = stored(S.dim_product(M.product_source(spark, sf)), "dim_product")
-    customers = stored(S.dim_customer(M.customer_source(spark, sf)), "dim_customer")
+    products, customers = dimensions(spark, sf)
+    products, customers = stored(products, "dim_product"), stored(customers, "dim_customer")
     return S.fact_order_line(M.order_line(spark, sf), M.order(spark, sf), products, customers)
 
 
@@ -325,7 +325,7 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scd2_product", f"SELECT {PRODUCT_VERSION} FROM m_dim_product")
 def scd2_product(spark: SparkSession, sf: str) -> DataFrame:
-    return scd2.versions(M.product_source(spark, sf), ["product_id"], unique=True)
+    return scd2.versions(M.product_source(spark, sf), ["product_id"])
 
 
 @query(
@@ -333,7 +333,9 @@ def scd2_product(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT customer_id, full_name, email_domain, updated_at, "__START_AT", "__END_AT" FROM m_dim_customer""",
 )
 def scd2_customer(spark: SparkSession, sf: str) -> DataFrame:
-    return scd2.versions(M.customer_source(spark, sf), ["customer_id"], unique=True)
+    return scd2.versions(
+        M.customer_source(spark, sf), ["customer_id"], prefer=M.CUSTOMER_PREFER
+    )
 
 
 USER_VERSIONS = """SELECT user_id, updated_at, state, value, updated_at AS "__START_AT",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,19 +27,23 @@ UNKNOWN_SINCE = "1900-01-01 00:00:00"
 
 
 def dimension(
-    source: DataFrame, name: str, key: str, surrogate: str, unique: bool = True
+    source: DataFrame, name: str, key: str, surrogate: str, prefer: Sequence[str] = ()
 ) -> DataFrame:
-    """Row rules, then versions, then one surrogate key per version."""
+    """Row rules, then versions, then one surrogate key per version.
+
+    The source is the feed as it arrives: its duplicates are dropped in the
+    window that finds the versions, without an aggregate of their own.
+    """
     kept = keep(source, FLOW_RULES[name])
-    return assign_keys(versions(kept, [key], unique=unique), [key], SEQUENCE, surrogate)
+    return assign_keys(versions(kept, [key], prefer=prefer), [key], SEQUENCE, surrogate)
 
 
-def dim_product(source: DataFrame, unique: bool = True) -> DataFrame:
-    return dimension(source, "dim_product", "product_id", "product_key", unique)
+def dim_product(source: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+    return dimension(source, "dim_product", "product_id", "product_key", prefer)
 
 
-def dim_customer(source: DataFrame, unique: bool = True) -> DataFrame:
-    return dimension(source, "dim_customer", "customer_id", "customer_key", unique)
+def dim_customer(source: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
+    return dimension(source, "dim_customer", "customer_id", "customer_key", prefer)
 
 
 def with_unknown(dim: DataFrame) -> DataFrame:
@@ -139,8 +144,9 @@ class Star:
     fact_order_line: DataFrame
 
 
-def build_star(spark: SparkSession, target: str, product_source: DataFrame,
-               customer_source: DataFrame, orders: DataFrame, lines: DataFrame) -> Star:
+def build_star(
+    spark: SparkSession, target: str, products: DataFrame, customers: DataFrame, orders: DataFrame, lines: DataFrame
+) -> Star:
     """Dimensions before the fact; each table is written once and read back.
 
     The dimensions are read twice by the fact (to measure and to join), and a
@@ -151,8 +157,7 @@ def build_star(spark: SparkSession, target: str, product_source: DataFrame,
         df.write.mode("overwrite").parquet(f"{target}/{name}")
         return spark.read.parquet(f"{target}/{name}")
 
-    products = written(dim_product(product_source), "dim_product")
-    customers = written(dim_customer(customer_source), "dim_customer")
+    products, customers = written(products, "dim_product"), written(customers, "dim_customer")
     dates = written(calendar_of(orders, "ordered_at"), "dim_date")
     write_fact(fact_order_line(lines, orders, products, customers), f"{target}/fact_order_line")
     fact = spark.read.parquet(f"{target}/fact_order_line")

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from asterline.plans import model
-from asterline.plans.star import Star, build_star, star_join
+from asterline.plans.star import Star, build_star, dim_customer, dim_product, star_join
 from asterline.session import scratch
 
 _BUILT: dict[tuple[str, str], Star] = {}
 
 
+def dimensions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    products = dim_product(model.product_source(spark, sf))
+    customers = dim_customer(model.customer_source(spark, sf), model.CUSTOMER_PREFER)
+    return products, customers
+
+
 def build(spark: SparkSession, sf: str) -> Star:
     return build_star(
         spark,
         scratch(spark, "star"),
-        model.product_source(spark, sf),
-        model.customer_source(spark, sf),
+        *dimensions(spark, sf),
         model.order(spark, sf),
         model.order_line(spark, sf),
     )

@@ -38,7 +38,7 @@ def customer_feed(seed):
 
 
 def test_seed_dimension(seed):
-    rows = S.dim_product(product_feed(seed), unique=False).orderBy("product_id", START).collect()
+    rows = S.dim_product(product_feed(seed)).orderBy("product_id", START).collect()
     assert [(r.product_id, r.category_name, r.list_price, r[START], r[END]) for r in rows] == [
         (100, "Tools", 9.99, day("2026-01-01"), day("2026-03-01")),
         (100, "Tools", 11.99, day("2026-03-01"), None),
@@ -48,8 +48,8 @@ def test_seed_dimension(seed):
 
 
 def test_seed_fact(seed):
-    products = S.dim_product(product_feed(seed), unique=False).cache()
-    customers = S.dim_customer(customer_feed(seed), unique=False).cache()
+    products = S.dim_product(product_feed(seed)).cache()
+    customers = S.dim_customer(customer_feed(seed)).cache()
     key = {(r.product_id, r.list_price): r.product_key for r in products.collect()}
     who = {r.customer_id: r.customer_key for r in customers.collect()}
     rows = S.fact_order_line(seed.order_line, seed.order, products, customers)
@@ -64,8 +64,8 @@ def test_seed_fact(seed):
 
 def test_built_star_on_disk(spark, seed, tmp_path):
     star = S.build_star(
-        spark, str(tmp_path), scd2.collapse(product_feed(seed), ["product_id"]),
-        customer_feed(seed), seed.order, seed.order_line,
+        spark, str(tmp_path), S.dim_product(product_feed(seed)), S.dim_customer(customer_feed(seed)),
+        seed.order, seed.order_line,
     )
     joined = S.star_join(star.fact_order_line, star.dim_product, star.dim_customer, star.dim_date)
     assert {(r.order_id, r.line_number): r.category_name for r in joined.collect()} == {
@@ -79,7 +79,7 @@ def test_built_star_on_disk(spark, seed, tmp_path):
 
 
 def test_unknown_member(seed):
-    members = S.with_unknown(S.dim_product(product_feed(seed), unique=False))
+    members = S.with_unknown(S.dim_product(product_feed(seed)))
     (row,) = members.filter("product_key = -1").collect()
     assert (row.product_id, row.product_name, row.list_price) == (-1, "Unknown", 0.0)
     assert row[START] == day("1900-01-01") and row[END] is None
@@ -233,6 +233,15 @@ def test_change_detection(spark):
     assert kept == {(3, 1), (1, None)}
 
 
+@pytest.mark.parametrize("limit", [None, 1])
+def test_preferred_column_decides_and_is_dropped(spark, limit):
+    rows = [(1, moment(0), 1, 9), (1, moment(0), 2, 3), (1, moment(5), 1, 1)]
+    df = spark.createDataFrame(rows, f"k long, {SEQUENCE} timestamp_ntz, message long, v long")
+    out = scd2.versions(df, ["k"], prefer=["message"], rows_per_task=limit)
+    assert "message" not in out.columns
+    assert [(r.v, r[END]) for r in out.orderBy(START).collect()] == [(3, moment(5)), (1, None)]
+
+
 def test_calendar(spark):
     bounds = spark.createDataFrame([(day("2025-12-27"), day("2026-01-02"))], "first timestamp_ntz, last timestamp_ntz")
     rows = S.calendar(spark, bounds).orderBy("date_key").collect()

@@ -71,8 +71,8 @@ def test_star_contracts(spark):
 def test_built_tables_keep_their_contracts(seed):
     from test_history import customer_feed, product_feed
 
-    products = S.dim_product(product_feed(seed), unique=False)
-    customers = S.dim_customer(customer_feed(seed), unique=False)
+    products = S.dim_product(product_feed(seed))
+    customers = S.dim_customer(customer_feed(seed))
     from asterline.operators.scd2 import reader_view
 
     assert broken_rules(S.with_unknown(reader_view(products)), OLAP["dim_product"]) == set()

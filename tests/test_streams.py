@@ -73,10 +73,10 @@ def test_incremental_dimension_equals_a_full_rebuild(spark, tmp_path):
 def test_fact_is_resolved_on_arrival(spark, seed, tmp_path):
     from test_history import customer_feed, product_feed
 
-    customers = S.dim_customer(customer_feed(seed), unique=False).cache()
+    customers = S.dim_customer(customer_feed(seed)).cache()
     early = product_feed(seed).filter(F.col(SEQUENCE) < sinks.at("2026-03-01"))
-    old = S.dim_product(early, unique=False).cache()
-    new = S.dim_product(product_feed(seed), unique=False).cache()
+    old = S.dim_product(early).cache()
+    new = S.dim_product(product_feed(seed)).cache()
     zone = str(tmp_path / "lines")
     seed.order_line.write.parquet(zone)
     stream = spark.readStream.schema(seed.order_line.schema).parquet(zone)
