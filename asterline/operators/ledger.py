@@ -11,9 +11,11 @@ segment are exactly the plain chain.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ from asterline.session import cut
 
 SEGMENT = 4096
 
+# The fold travels with its task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ENTRY = "chain_id string, sequence long, previous_hash string, entry_hash string, machine string, payload string"
 
 

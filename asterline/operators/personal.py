@@ -7,8 +7,10 @@ word on its line 0.85, a format alone 0.5. Findings start at 0.8.
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,9 @@ CONTEXT = {
     "PHONE_NUMBER": r"(?i)\b(?:phone|telephone|tel|call|mobile|fax)\b",
 }
 
+# The checksum travels with its task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 
 
