@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import mixing, sharding
+from asterline.llm import mixing, packing, rules, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,16 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def tokenizer_file(spark: SparkSession, name: str) -> str:
+    """Where tasks find a public vocabulary: the folder named in asterline.tokenizers, or the installed package."""
+    folder = spark.conf.get("asterline.tokenizers", None)
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @register("op1_minimax_shards")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of nearly equal bytes; equal texts share a shard."""
@@ -42,3 +52,40 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """150 % of all words, by weights 3, 1, 2 in the order of sources."""
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@register("op7_rule_cascade", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+    q AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM p),
+    r AS (SELECT doc_id, least(3, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -2)) AS n FROM q WHERE c >= 2),
+    s AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_repeat_words FROM r GROUP BY 1),
+    m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                 CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+          FROM d),
+    a AS (SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                 coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines FROM m LEFT JOIN s USING (doc_id)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+                OR (n_dup_lines > 0 AND 100 * n_dup_lines > 30 * n_lines)) AS kept
+    FROM b""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and whether the cascade of rules keeps it."""
+    return rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@register("op5_warc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived and read back."""
+    return warc.archived(table(spark, sf_dir, "pages")).drop("url")
+
+
+@register("op10_packed_ids")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed token ids, read back from the files."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file(spark, "byte_bpe_50k.json"), end_id=2)
