@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import mixing, packing, rules, sharding, warc
+from asterline.llm import bpe, fingerprints, mixing, packing, rules, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed token ids, read back from the files."""
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file(spark, "byte_bpe_50k.json"), end_id=2)
+
+
+@register("op8_bottom_k")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how like they are."""
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
+@register("op9_prefix_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text to ids and back."""
+    rows = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_file(spark, "word_bpe_49k.json"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
