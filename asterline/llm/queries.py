@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import bpe, fingerprints, mixing, packing, rules, sharding, warc
+from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, rules, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op4_signature_tree_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over distinct 5-word shingles at a Jaccard similarity of 0.75."""
+    return jaccard.joined(table(spark, sf_dir, "documents")).drop("tie")
