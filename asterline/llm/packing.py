@@ -30,9 +30,9 @@ from asterline.session import scratch, stored
 
 MAGIC = b"IDPACK01"
 BLOCK = 4096
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 250_000
 ODD_SPACE = re.compile(r"[^\S \n]")
 PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
