@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, rules, sharding, warc
+from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, repeats, rules, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over distinct 5-word shingles at a Jaccard similarity of 0.75."""
     return jaccard.joined(table(spark, sf_dir, "documents")).drop("tie")
+
+
+@register("op3_suffix_arrays")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text when bytes of strings of 100 bytes met before are removed."""
+    return repeats.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.expr("CAST(aggregate(removed, 0L, (n, r) -> n + r.stop - r.start) AS BIGINT)").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
