@@ -117,23 +117,19 @@ def fit(lengths, counts, budget: int):
     return taken
 
 
-def mixed(docs: DataFrame, weigh: Callable[[DataFrame], DataFrame] | None = None, share: float = 1.5, most: float = 2.0,
-          seed: int = 17, ident: str = "doc_id", text: str = "text", source: str = "source",
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every row with how often the mix takes it: the columns of `keep`, id, size, source_size, target, copies, taken."""
-    weigh = weigh or cyclic_weights()
+def _mixed(docs: DataFrame, weigh, share, most, seed, ident, text, source, keep: tuple[str, ...]) -> DataFrame:
+    """The columns of keep, and mix_id, mix_size, mix_source_size, mix_target, mix_copies."""
     rows = docs.select(
         *keep,
         F.col(ident).alias("mix_id"),
         F.col(source).alias("mix_source"),
-        n_words(F.col(text)).alias("size"),
+        n_words(F.col(text)).alias("mix_size"),
         F.xxhash64(F.lit(seed), F.col(ident), F.col(text)).alias("mix_hash"),
-    ).withColumn("slice", F.pmod("mix_hash", F.lit(SLICES)))
-    if not keep:
-        rows = stored(rows, "mix-rows")
+    ).withColumn("mix_slice", F.pmod("mix_hash", F.lit(SLICES)))
+    narrow = rows if keep else stored(rows, "mix-rows")
     slices = stored(
-        rows.groupBy(F.col("mix_source").alias("source"), "size", "slice").agg(F.count("*").alias("rows")), "mix-slices"
-    )
+        narrow.groupBy(F.col("mix_source").alias("source"), F.col("mix_size").alias("size"), F.col("mix_slice").alias("slice"))
+        .agg(F.count("*").alias("rows")), "mix-slices")
     lengths = slices.groupBy("source", "size").agg(F.sum("rows").alias("rows"))
     sources = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     goals = stored(targets(weigh(sources), share, most), "mix-targets")
@@ -154,20 +150,33 @@ def mixed(docs: DataFrame, weigh: Callable[[DataFrame], DataFrame] | None = None
         .groupBy("source").applyInPandas(choose, "source string, size long, source_size long, target double, passes long, extra long"),
         "mix-lengths",
     )
-    # Slices before the cut are taken whole; `extra` tells how many documents of this slice are.
+    # Slices before the cut are taken whole; mix_extra tells how many documents of this slice are.
     before = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         slices.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).alias("l")
         .join(chosen.alias("r"), same & (F.col("l.size") == F.col("r.size")))
-        .select("l.source", "l.size", "l.slice", "source_size", "target", "passes",
-                F.greatest(F.lit(0), F.least(F.col("rows"), F.col("extra") - F.col("before"))).alias("extra"))
-    )
-    rank = F.row_number().over(Window.partitionBy("l.mix_source", "l.size", "l.slice").orderBy("mix_hash", "mix_id"))
-    on = F.col("l.mix_source").eqNullSafe(F.col("r.source")) & (F.col("l.size") == F.col("r.size"))
-    copies = F.col("passes") + (rank <= F.col("extra")).cast("long")
-    return (
-        rows.alias("l").join(cut.alias("r"), on & (F.col("l.slice") == F.col("r.slice")))
-        .select(*[F.col(f"l.{c}") for c in keep], F.col("mix_id").alias(ident), "l.size", "source_size", "target",
-                copies.alias("copies"))
-        .withColumn("taken", F.col("copies") * F.col("size"))
+        .select(F.col("l.source").alias("cut_source"), F.col("l.size").alias("cut_size"), F.col("l.slice").alias("cut_slice"),
+                F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("passes").alias("mix_passes"),
+                F.greatest(F.lit(0), F.least(F.col("rows"), F.col("extra") - F.col("before"))).alias("mix_extra"))
     )
+    rank = F.row_number().over(Window.partitionBy("mix_source", "mix_size", "mix_slice").orderBy("mix_hash", "mix_id"))
+    on = F.col("mix_source").eqNullSafe(F.col("cut_source")) & (F.col("mix_size") == F.col("cut_size"))
+    copies = F.col("mix_passes") + (rank <= F.col("mix_extra")).cast("long")
+    return narrow.join(cut, on & (F.col("mix_slice") == F.col("cut_slice"))).withColumn("mix_copies", copies).select(
+        *keep, "mix_id", "mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def mixed(docs: DataFrame, weigh: Callable[[DataFrame], DataFrame] | None = None, share: float = 1.5, most: float = 2.0,
+          seed: int = 17, ident: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row for each row of docs: id, size, source_size, target, and taken (tokens that the mix takes of it)."""
+    rows = _mixed(docs, weigh or cyclic_weights(), share, most, seed, ident, text, source, ())
+    return rows.select(F.col("mix_id").alias(ident), F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
+                       F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
+
+
+def taken(docs: DataFrame, weigh: Callable[[DataFrame], DataFrame] | None = None, share: float = 1.5, most: float = 2.0,
+          seed: int = 17, ident: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: the rows of docs with all their columns, each as often as it is taken."""
+    rows = _mixed(docs, weigh or cyclic_weights(), share, most, seed, ident, text, source, tuple(docs.columns))
+    rows = rows.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    return rows.select(*docs.columns)

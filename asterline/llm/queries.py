@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, repeats, rules, sharding, warc
+from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, repeats, rules, scoring, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_budget_mix")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """150 % of all words, by weights 3, 1, 2 in the order of sources."""
-    return mixing.mixed(table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
 @register("op7_rule_cascade", r"""
@@ -120,8 +120,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text when bytes of strings of 100 bytes met before are removed."""
     return repeats.deduplicated(table(spark, sf_dir, "documents")).select(
         "doc_id",
-        "n_bytes",
-        F.expr("CAST(aggregate(removed, 0L, (n, r) -> n + r.stop - r.start) AS BIGINT)").alias("n_removed"),
-        F.size("removed").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.col("repeat_bytes").alias("n_bytes"),
+        F.expr("CAST(aggregate(repeat_spans, 0L, (n, r) -> n + r.stop - r.start) AS BIGINT)").alias("n_removed"),
+        F.size("repeat_spans").cast("long").alias("n_spans"),
+        F.sha2("repeat_kept", 256).alias("kept_sha256"),
     )
+
+
+@register("op6_entropy_difference")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored between the model of good documents and that of all."""
+    return scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

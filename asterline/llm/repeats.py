@@ -284,21 +284,23 @@ def covered(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataF
 
 
 def deduplicated(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of docs and: n_bytes, removed (array of start, stop, each a maximal run), kept (binary)."""
+    """All columns of docs and: repeat_bytes, repeat_spans (start and stop of each maximal removed run), repeat_kept (binary)."""
     spans = stored(covered(docs, ident, text), "repeat-spans")
     # Overlapping and touching spans are one run.
-    runs = F.expr("""aggregate(coalesce(spans, array()), array_remove(array(struct(0L AS start, 0L AS stop)), struct(0L AS start, 0L AS stop)),
-        (r, s) -> if(size(r) > 0 AND r[size(r) - 1].stop >= s.start,
-            slice(r, 1, size(r) - 1) || array(struct(r[size(r) - 1].start AS start, greatest(r[size(r) - 1].stop, s.stop) AS stop)),
-            r || array(struct(s.start AS start, s.stop AS stop))))""")
-    merged = spans.select(F.col("doc").alias("repeat_doc"), F.col("tie").alias("repeat_tie"), runs.alias("removed"))
-    data = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    none = "array_remove(array(struct(0L AS start, 0L AS stop)), struct(0L AS start, 0L AS stop))"
+    runs = F.expr(f"""aggregate(spans, {none}, (r, s) -> if(size(r) > 0 AND r[size(r) - 1].stop >= s.start,
+        slice(r, 1, size(r) - 1) || array(struct(r[size(r) - 1].start AS start, greatest(r[size(r) - 1].stop, s.stop) AS stop)),
+        r || array(struct(s.start AS start, s.stop AS stop))))""")
+    merged = spans.select(F.col("doc").alias("repeat_doc"), F.col("tie").alias("repeat_tie"), runs.alias("repeat_found"))
     same = (F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)) == F.col("repeat_doc")) & (F.xxhash64(text) == F.col("repeat_tie"))
-    out = docs.join(merged, same, "left").drop("repeat_doc", "repeat_tie")
-    out = out.withColumn("repeat_data", data).withColumn("n_bytes", F.octet_length("repeat_data").cast("long"))
-    out = out.withColumn("removed", F.coalesce("removed", F.expr("array_remove(array(struct(0L AS start, 0L AS stop)), struct(0L AS start, 0L AS stop))")))
-    kept = F.expr("""if(size(removed) = 0, repeat_data, aggregate(
-        concat(removed, array(struct(n_bytes AS start, n_bytes AS stop))), struct(0L AS at, CAST('' AS BINARY) AS data),
+    out = (
+        docs.join(merged, same, "left")
+        .withColumn("repeat_spans", F.coalesce("repeat_found", F.expr(none)))
+        .withColumn("repeat_data", F.coalesce(F.col(text), F.lit("")).cast("binary"))
+        .withColumn("repeat_bytes", F.octet_length("repeat_data").cast("long"))
+    )
+    kept = F.expr("""if(size(repeat_spans) = 0, repeat_data, aggregate(
+        concat(repeat_spans, array(struct(repeat_bytes AS start, repeat_bytes AS stop))), struct(0L AS at, CAST('' AS BINARY) AS data),
         (s, r) -> struct(r.stop AS at, concat(s.data, substring(repeat_data, CAST(s.at + 1 AS INT), CAST(r.start - s.at AS INT))) AS data),
         s -> s.data))""")
-    return out.withColumn("kept", kept).drop("repeat_data")
+    return out.withColumn("repeat_kept", kept).select(*docs.columns, "repeat_bytes", "repeat_spans", "repeat_kept")
