@@ -54,11 +54,11 @@ def evidence(metrics: DataFrame, source: Column, observed_at: Column) -> DataFra
     )
 
 
-def verdicts(rules: DataFrame, observed: DataFrame, by: list[str]) -> DataFrame:
+def verdicts(rules: DataFrame, observed: DataFrame, by: list[str], groups: DataFrame | None = None) -> DataFrame:
     """One verdict per group of `by`; rules without evidence over any row are unknown.
 
     `rules` holds one row per group and rule that should have run. The lists are
-    as long as a contract has rules.
+    as long as a contract has rules. A group of `groups` without any rule is unknown too.
     """
     ran = observed.select(*by, "rule_id", "n_rows", "failures")
     judged = rules.join(ran, [*by, "rule_id"], "left").select(
@@ -83,6 +83,15 @@ def verdicts(rules: DataFrame, observed: DataFrame, by: list[str]) -> DataFrame:
         F.count_if("ran").alias("rules_run"),
         F.array_sort(F.collect_list(violation)).alias("violations"),
     )
+    if groups is not None:
+        listed = groups.select(*by).distinct().join(grouped, by, "left")
+        grouped = listed.withColumns(
+            {
+                "rules": F.coalesce("rules", F.lit(0)),
+                "rules_run": F.coalesce("rules_run", F.lit(0)),
+                "violations": F.coalesce("violations", F.array().cast(grouped.schema["violations"].dataType)),
+            }
+        )
     outcome = (
         F.when(F.size("violations") > 0, "fail")
         .when((F.col("rules") == 0) | (F.col("rules_run") < F.col("rules")), "unknown")

@@ -1,11 +1,9 @@
 """Hash-chained audit records as a table, many chains at a time.
 
-An entry's hash covers the hash before it, so one chain can only be built in
-order. To keep a long chain from becoming one task, chains are cut into
-segments of fixed length. Each segment starts from the genesis hash, and the
-segments' last hashes are themselves chained as the entries of an anchor
-ledger, level by level, until a level fits one segment. Chains no longer than a
-segment are exactly the plain chain.
+An entry's hash covers the hash before it, so a chain is one chain at every length and a new load continues the
+stored one from its tail. Building streams each chain through one task without holding it; that order is the
+nature of a hash chain, and a load costs only its new entries. Verifying has no order: every
+entry is checked against the entry one place before it, joined by (chain, place), so a long chain spreads.
 """
 
 from __future__ import annotations
@@ -16,21 +14,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asterline.functions.scalars import (
     GENESIS,
-    canonical_json,
     entry_hash,
     entry_prefix,
     entry_suffix,
 )
 from asterline.operators.timeline import with_position
-from asterline.session import cut
-
-SEGMENT = 4096
-
 # The fold travels with its task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,14 +31,13 @@ _ENTRY = "chain_id string, sequence long, previous_hash string, entry_hash strin
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Carry the last hash through rows sorted by chain, segment and sequence."""
-    chain, segment, last = None, None, GENESIS
+    """Carry the last hash through rows sorted by chain and sequence; a chain starts from its `_tail`."""
+    chain, last = None, GENESIS
     for batch in batches:
         previous, hashes = [], []
-        rows = zip(batch["chain_id"], batch["_segment"], batch["_prefix"], batch["_suffix"])
-        for c, s, prefix, suffix in rows:
-            if c != chain or s != segment:
-                chain, segment, last = c, s, GENESIS
+        for c, tail, prefix, suffix in zip(batch["chain_id"], batch["_tail"], batch["_prefix"], batch["_suffix"]):
+            if c != chain:
+                chain, last = c, tail
             previous.append(last)
             last = hashlib.sha256((prefix + last + suffix).encode()).hexdigest()
             hashes.append(last)
@@ -55,79 +47,65 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def build(entries: DataFrame, order: str, segment: int = SEGMENT) -> DataFrame:
-    """Chain (chain_id, machine, payload) rows in `order`, sequences from zero.
+def build(entries: DataFrame, order: str, stored: DataFrame | None = None) -> DataFrame:
+    """Chain (chain_id, machine, payload) rows in `order`; after the stored entries of their chain, else from zero.
 
-    Segments are hashed to partitions as they are, so a hot chain spreads, and
-    rows stream through each task without a group being held in memory.
+    Returns the new entries only: they are appended to the stored ones.
     """
-    numbered = with_position(entries, ["chain_id"], order, "sequence")
+    named = entries.withColumn("chain_id", F.col("chain_id").cast("string"))
+    numbered = with_position(named, ["chain_id"], order, "sequence")
+    if stored is None:
+        numbered = numbered.withColumn("_tail", F.lit(GENESIS))
+    else:
+        tails = stored.groupBy("chain_id").agg(
+            F.max_by("entry_hash", "sequence").alias("_last"), (F.max("sequence") + 1).alias("_length")
+        )
+        numbered = numbered.join(tails, "chain_id", "left").withColumns(
+            {"sequence": F.col("sequence") + F.coalesce("_length", F.lit(0)), "_tail": F.coalesce("_last", F.lit(GENESIS))}
+        )
     prepared = numbered.select(
-        F.col("chain_id").cast("string").alias("chain_id"),
-        "sequence",
+        "chain_id",
+        F.col("sequence").cast("long").alias("sequence"),
         "machine",
         "payload",
-        F.floor(F.col("sequence") / segment).alias("_segment"),
+        "_tail",
         entry_prefix("machine", "payload").alias("_prefix"),
         entry_suffix("sequence").alias("_suffix"),
     )
     return (
-        prepared.repartition("chain_id", "_segment")
-        .sortWithinPartitions("chain_id", "_segment", "sequence")
-        .mapInPandas(_fold, _ENTRY)
+        prepared.repartition("chain_id").sortWithinPartitions("chain_id", "sequence").mapInPandas(_fold, _ENTRY)
     )
 
 
-def anchors(ledger: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """The next level: one entry per segment, holding its last hash and length."""
-    tails = ledger.groupBy(
-        "chain_id", F.floor(F.col("sequence") / segment).alias("_segment")
-    ).agg(
-        F.max_by("entry_hash", "sequence").alias("tail"),
-        F.count("*").alias("entries"),
-        F.max_by("machine", "sequence").alias("machine"),
-    )
-    payload = canonical_json(tail=F.col("tail"), entries=F.col("entries"))
-    return build(tails.select("chain_id", "machine", payload.alias("payload"), "_segment"), "_segment", segment)
-
-
-def seal(ledger: DataFrame, segment: int = SEGMENT) -> list[DataFrame]:
-    """All anchor levels above a stored ledger; the top level fits one segment."""
-    levels: list[DataFrame] = []
-    level = ledger
-    while (level.agg(F.max("sequence")).first()[0] or 0) >= segment:
-        level = cut(anchors(level, segment))
-        levels.append(level)
-    return levels
-
-
-def verify(
-    log: DataFrame, line: str, chains: DataFrame | None = None, segment: int = SEGMENT
-) -> DataFrame:
+def verify(log: DataFrame, line: str, chains: DataFrame | None = None) -> DataFrame:
     """Walk each chain in log order and report its first break.
 
-    (chain_id, entries, intact, broken_at, detail); broken_at is -1 when intact.
-    Chains listed in `chains` but without entries are intact and empty.
+    (chain_id, entries, intact, broken_at, detail); broken_at is -1 when intact. A missing value is a break like a wrong
+    one. Chains listed in `chains` but without entries are intact and empty.
     """
-    placed = with_position(log, ["chain_id"], line, "position").withColumn(
-        "_segment", F.floor(F.col("position") / segment)
-    )
-    before = F.lag("entry_hash").over(
-        Window.partitionBy("chain_id", "_segment").orderBy("position")
+    fields = ("sequence", "previous_hash", "entry_hash", "machine", "payload")
+    log = log.select("chain_id", F.col(line).alias("_line"), *fields)
+    placed = with_position(log, ["chain_id"], "_line", "position")
+    before = placed.select("chain_id", (F.col("position") + 1).alias("position"), F.col("entry_hash").alias("_last"))
+    linked = placed.join(before, ["chain_id", "position"], "left").withColumn(
+        "_before", F.when(F.col("position") == 0, GENESIS).otherwise(F.col("_last"))
     )
-    linked = placed.withColumn("_before", F.coalesce(before, F.lit(GENESIS)))
     own = entry_hash("machine", "payload", F.col("previous_hash"), "sequence")
+    # Fixed texts of the three breaks.
     detail = (
         F.when(
-            F.col("sequence") != F.col("position"),
-            F.concat_ws(" ", F.lit("sequence"), "sequence", F.lit("found at position"), "position"),
+            ~F.col("sequence").eqNullSafe(F.col("position")),
+            F.concat_ws(" ", F.lit("sequence"), F.coalesce(F.col("sequence").cast("string"), F.lit("none")),
+                        F.lit("found at position"), "position"),
         )
         .when(
-            F.col("previous_hash") != F.col("_before"),
+            F.col("_before").isNotNull() & ~F.col("previous_hash").eqNullSafe(F.col("_before")) | F.col("previous_hash").isNull(),
             "previous_hash does not match the preceding record",
         )
-        .when(own != F.col("entry_hash"), "the record's contents do not match its hash")
-    )
+        .when(
+            own.isNull() | ~own.eqNullSafe(F.col("entry_hash")), "the record's contents do not match its hash"
+        )
+    )
     walked = linked.select("chain_id", "position", detail.alias("_detail"))
     at = F.when(F.col("_detail").isNotNull(), F.col("position"))
     result = walked.groupBy("chain_id").agg(

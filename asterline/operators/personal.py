@@ -42,12 +42,8 @@ ENTITIES = (
 SKIP_SUFFIXES = (".png", ".jpg", ".jpeg", ".gif", ".ico", ".woff", ".woff2")
 SKIP_NAMES = ("uv.lock", "flake.lock")
 
-# Public suffixes an address may end in; reserved ones (invalid, test) are absent.
-SUFFIXES = (
-    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "dev", "app", "ai",
-    "de", "fr", "es", "it", "nl", "be", "ch", "at", "uk", "ie", "pt", "pl", "se", "no", "dk",
-    "fi", "cz", "eu", "us", "ca", "mx", "br", "ar", "au", "nz", "jp", "cn", "in", "kr", "ru",
-)
+# Suffixes reserved for tests and examples, in which no address is real.
+RESERVED_SUFFIXES = ("test", "example", "invalid", "localhost", "local", "internal", "onion", "arpa")
 
 PATTERNS = {
     "EMAIL_ADDRESS": r"\b[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b",
@@ -113,14 +109,14 @@ def matches(entity: str) -> Column:
     return F.regexp_extract_all("line", F.lit(PATTERNS[entity]), F.lit(0))
 
 
-def suffix_listed(address: Column) -> Column:
-    return F.lower(F.element_at(F.split(address, "\\."), -1)).isin(*SUFFIXES)
+def suffix_real(address: Column) -> Column:
+    return ~F.lower(F.element_at(F.split(address, "\\."), -1)).isin(*RESERVED_SUFFIXES)
 
 
 def _score(entity: str, match: Column) -> Column:
     valid = F.lit(VALID)
     if entity == "EMAIL_ADDRESS":
-        checked = suffix_listed(match)
+        checked = suffix_real(match)
     elif entity == "CREDIT_CARD":
         checked = luhn_valid(F.regexp_replace(match, "[ -]", ""))
     elif entity == "IBAN_CODE":

@@ -40,8 +40,7 @@ def collapse(
     values = _values(changes, keys, sequence, prefer)
     if not values:
         return changes.dropDuplicates([*keys, sequence])
-    # Exact copies go first through a hash aggregate; conflicts that remain are few.
-    best = changes.distinct().groupBy(*keys, sequence).agg(F.max(F.struct(*values)).alias("_best"))
+    best = changes.groupBy(*keys, sequence).agg(F.max(F.struct(*values)).alias("_best"))
     return best.select(
         *[F.col(f"_best.{c}").alias(c) if c in values else F.col(c) for c in changes.columns]
     )

@@ -29,13 +29,27 @@ def assign_keys(
     sequence: str,
     name: str,
     after: int = 0,
+    most: int | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Number the versions above `after`; the n-th row of bucket b gets n * BUCKETS + b.
 
     Interleaving the buckets makes the numbers unique without counting any
     bucket first. Like an identity column, the keys differ but carry no order.
+
+    With `stored` (keys, sequence, name) a version that has a number keeps it, and new ones are numbered above the greatest stored
+    one: a rebuild never renumbers. `most` is the room for numbers; a version beyond it is an error.
     """
+    if stored is not None:
+        had = stored.select(*keys, sequence, name)
+        greatest = had.agg(F.max(name)).first()[0] or 0
+        known = versions.join(had, [*keys, sequence])
+        fresh = versions.join(had, [*keys, sequence], "left_anti")
+        numbered = assign_keys(fresh, keys, sequence, name, max(after, greatest), most)
+        return known.select(name, *versions.columns).unionByName(numbered)
     bucketed = versions.withColumn("_bucket", bucket_of(versions, keys, sequence))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys, sequence))
-    number = (rank.cast("long") - 1) * BUCKETS + F.col("_bucket") + 1 + F.lit(after)
-    return bucketed.select(number.alias(name), *versions.columns)
+    number = (rank.cast("long") - 1) * BUCKETS + F.col("_bucket") + 1
+    if most is not None:
+        number = F.when(number <= most, number).otherwise(F.raise_error(F.lit(f"more than {most} numbers needed")))
+    return bucketed.select((number + F.lit(after)).alias(name), *versions.columns)

@@ -30,7 +30,7 @@ MODEL: dict[str, str] = {
     "m_category": """
     SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS category_id,
            p_brand AS category_name
-    FROM part WHERE CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) <= 20""",
+    FROM part""",
     "m_product": """
     SELECT p_partkey AS product_id, p_name AS product_name,
            CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS category_id,

@@ -14,8 +14,6 @@ from asterline.functions.scalars import known_name
 from asterline.operators.lookup import lookup
 from asterline.session import table
 
-# Categories above this id are left out, so that lookups really miss.
-LISTED_CATEGORIES = 20
 REGISTERED = "1995-01-01 00:00:00"
 
 
@@ -27,7 +25,6 @@ def category(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "part")
         .select(brand_id().alias("category_id"), F.col("p_brand").alias("category_name"))
-        .filter(F.col("category_id") <= LISTED_CATEGORIES)
         .distinct()
     )
 
@@ -41,6 +38,16 @@ def product(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, and the labels that only some of them have."""
+    labels = table(spark, sf, "labels").select(
+        "doc_id",
+        F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor").alias("category_name"),
+        F.col("quality").cast("int").alias("category_key"),
+    )
+    return table(spark, sf, "documents").select("doc_id", "source"), labels
+
+
 def customer(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("customer_id"),

@@ -386,7 +386,8 @@ def ev_decision(spark: SparkSession, sf: str) -> DataFrame:
               WHEN count(*) FILTER (WHERE NOT o.order_id > 0) > 0 THEN 'POLICY_VIOLATIONS' ELSE 'POLICY_SATISFIED' END AS reason_code,
               CASE WHEN count(o.order_id) > 0 AND count(*) FILTER (WHERE NOT o.order_id > 0) = 0 THEN 'publish' ELSE 'halt' END AS action
        FROM (VALUES ('placed'), ('shipped'), ('delivered'), ('cancelled')) s(status)
-       LEFT JOIN m_order o USING (status) GROUP BY s.status""",
+       LEFT JOIN m_order o USING (status) GROUP BY s.status
+       UNION ALL SELECT 'returned', 'unknown', 'POLICY_ENGINE_UNAVAILABLE', 'halt'""",
 )
 def ev_fail_closed(spark: SparkSession, sf: str) -> DataFrame:
     """One verdict per listed status; a status without orders was not judged."""
@@ -396,7 +397,9 @@ def ev_fail_closed(spark: SparkSession, sf: str) -> DataFrame:
         [(s, rule.id, rule.reason_code) for s in ORDER_STATUSES],
         "status string, rule_id string, reason_code string",
     )
-    verdict = V.verdicts(expected, metrics, ["status"])
+    # A status that is listed but has no rule at all must not vanish.
+    listed = spark.createDataFrame([(s,) for s in (*ORDER_STATUSES, "returned")], "status string")
+    verdict = V.verdicts(expected, metrics, ["status"], listed)
     return V.decisions(verdict).select("status", "outcome", "reason_code", "action")
 
 
@@ -462,7 +465,7 @@ MODEL["m_entry"] = """
     FROM orders"""
 _MATERIAL = """sha256('{"machine":"' || e.machine || '","payload":' || e.payload || ',"previous_hash":"' ||
                PREVIOUS || '","sequence":' || e.sequence || '}')"""
-_LINK = f"CASE WHEN e.sequence % {L.SEGMENT} = 0 THEN repeat('0', 64) ELSE c.entry_hash END"
+_LINK = "c.entry_hash"
 _CHAIN_SQL = f"""WITH RECURSIVE chained AS (
     SELECT e.chain_id, e.sequence, repeat('0', 64) AS previous_hash,
            {_MATERIAL.replace("PREVIOUS", "repeat('0', 64)")} AS entry_hash, e.machine, e.payload
@@ -472,13 +475,13 @@ _CHAIN_SQL = f"""WITH RECURSIVE chained AS (
     FROM chained c JOIN m_entry e ON e.chain_id = c.chain_id AND e.sequence = c.sequence + 1)"""
 
 
-def _entries(spark: SparkSession, sf: str) -> DataFrame:
-    """One audit entry per order, chained per customer."""
+def _entries(spark: SparkSession, sf: str, chain: str = "o_custkey") -> DataFrame:
+    """One audit entry per order, chained per customer or another column."""
     payload = canonical_json(
         order_id=F.col("o_orderkey"), status=F.col("o_orderstatus"), priority=F.col("o_orderpriority")
     )
     return table(spark, sf, "orders").select(
-        F.col("o_custkey").cast("string").alias("chain_id"),
+        F.col(chain).cast("string").alias("chain_id"),
         "o_orderkey",
         F.concat(F.lit("node-"), F.col("o_orderkey") % 4).alias("machine"),
         payload.alias("payload"),
@@ -503,6 +506,47 @@ def ledger_verify(spark: SparkSession, sf: str) -> DataFrame:
     return L.verify(ledger.withColumn("line", F.col("sequence")), "line", chains)
 
 
+@query(
+    "ledger_long_chain",
+    """SELECT o_orderstatus AS chain_id, count(*) AS entries, true AS intact, -1 AS broken_at, 'chain verifies' AS detail
+       FROM orders GROUP BY o_orderstatus""",
+)
+def ledger_long_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """One chain for each order status: thousands of entries, the same format as a short one."""
+    entries = _entries(spark, sf, "o_orderstatus")
+    ledger = stored(L.build(entries, "o_orderkey"), "ledger")
+    return L.verify(ledger.withColumn("line", F.col("sequence")), "line")
+
+
+@query("ledger_append", f"{_CHAIN_SQL} SELECT * FROM chained")
+def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads, the second after the tails of the first, are the chains of one load."""
+    entries = _entries(spark, sf)
+    half = entries.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0] or 0
+    first = stored(L.build(entries.where(F.col("o_orderkey") <= half), "o_orderkey"), "ledger")
+    return first.unionByName(L.build(entries.where(F.col("o_orderkey") > half), "o_orderkey", first))
+
+
+@query(
+    "ledger_erased_fields",
+    """WITH n AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1)
+       SELECT CAST(k AS VARCHAR) AS chain_id, n AS entries, false AS intact, n - 1 AS broken_at,
+              CASE k % 4 WHEN 0 THEN 'sequence none found at position ' || (n - 1)
+                   WHEN 1 THEN 'previous_hash does not match the preceding record'
+                   ELSE 'the record''s contents do not match its hash' END AS detail
+       FROM n""",
+)
+def ledger_erased_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """One field of each chain's last entry is erased; nothing after it could show that."""
+    ledger = stored(L.build(_entries(spark, sf), "o_orderkey"), "ledger")
+    last = ledger.groupBy("chain_id").agg(F.max("sequence").alias("_last"))
+    log = ledger.join(last, "chain_id").withColumn("line", F.col("sequence"))
+    kind, at = F.col("chain_id").cast("long") % 4, F.col("line") == F.col("_last")
+    for n, field in enumerate(("sequence", "previous_hash", "payload", "entry_hash")):
+        log = log.withColumn(field, F.when(~(at & (kind == n)), F.col(field)))
+    return L.verify(log, "line")
+
+
 CASES = ("intact", "edited", "swapped", "deleted", "truncated", "unlinked")
 
 

@@ -15,7 +15,7 @@ from asterline.operators.quality import keep
 from asterline.plans import model as M
 from asterline.plans import star as S
 from asterline.plans.catalog import query
-from asterline.plans.queries_star import FACT, MEASURES, USER_VERSIONS, ntz
+from asterline.plans.queries_star import FACT, MEASURES, USER_VERSIONS
 from asterline.plans.warehouse import star
 from asterline.session import scratch, table
 from asterline.sources import sinks, tables
@@ -37,13 +37,11 @@ def src_stream_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "src_snapshot_orders",
-    "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'",
+    "SELECT o_orderkey, o_custkey, o_orderdate FROM orders",
 )
 def src_snapshot_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = tables.snapshot(spark, f"{sf}/orders.parquet")
-    return orders.filter(F.col("o_orderdate") >= ntz("1999-01-01 00:00:00")).select(
-        "o_orderkey", "o_custkey", "o_orderdate"
-    )
+    return orders.select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 @query("src_landing_zone", "SELECT event_id, ts, user_id, event_type FROM events")
@@ -81,18 +79,14 @@ def src_columnar_document(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "src_text_corpus",
     """SELECT page_id, path, n_chars FROM (
-         SELECT page_id, length(html) AS n_chars, 'site/' || page_id ||
-           CASE page_id % 5 WHEN 0 THEN '.PNG' WHEN 1 THEN '/uv.lock' WHEN 2 THEN '.woff2' ELSE '.html' END AS path
-         FROM pages) WHERE path LIKE '%.html'""",
+         SELECT page_id, length(html) AS n_chars, regexp_replace(url, '[?#].*$', '') AS path FROM pages)
+       WHERE NOT regexp_matches(lower(path), '(\\.(png|jpe?g|gif|ico|woff2?)|/(uv|flake)\\.lock)$')""",
 )
 def src_text_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    kind = F.col("page_id") % 5
-    ending = (
-        F.when(kind == 0, ".PNG").when(kind == 1, "/uv.lock").when(kind == 2, ".woff2").otherwise(".html")
-    )
+    """Pages by the path of their address, without those whose name says that they are no text."""
     files = table(spark, sf, "pages").select(
         "page_id",
-        F.concat(F.lit("site/"), F.col("page_id"), ending).alias("path"),
+        F.regexp_replace("url", "[?#].*$", "").alias("path"),
         F.length("html").cast("long").alias("n_chars"),
     )
     return personal.scannable(files)
@@ -247,18 +241,15 @@ def ddl_versioned_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "sink_streaming_dim",
-    """WITH feed AS (SELECT o_custkey AS customer_id, o_orderdate AS updated_at,
-                            max(replace(lower(substr(o_orderpriority, 3)), ' ', '-') || '.test') AS email_domain
-                     FROM orders GROUP BY 1, 2)
-       SELECT customer_id, email_domain, updated_at AS "__START_AT",
-              lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS "__END_AT" FROM feed""",
+    """SELECT customer_id, email_domain, updated_at AS "__START_AT",
+              lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS "__END_AT" FROM m_customer_feed""",
 )
 def sink_streaming_dim(spark: SparkSession, sf: str) -> DataFrame:
     """A dimension target with a declared schema and row rules, filled by a stream."""
-    changes = M.domain_changes(_stream(spark, sf, "orders")).drop("order_id")
+    changes = M.domain_changes(_stream(spark, sf, "orders"))
     flow = flows.DimensionFlow(
         spark, scratch(spark, "dim"), ["customer_id"], "customer_key", changes.schema,
-        FLOW_RULES["dim_customer"],
+        FLOW_RULES["dim_customer"], prefer=M.CUSTOMER_PREFER,
     )
     flow.run(changes)
     return flow.versions().drop(SEQUENCE, "customer_key")
@@ -322,6 +313,20 @@ def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
     return flow.versions().drop("user_key")
 
 
+@query(
+    "stream_conflicts",
+    """SELECT product_id, list_price, updated_at, updated_at AS "__START_AT",
+              lead(updated_at) OVER (PARTITION BY product_id ORDER BY updated_at) AS "__END_AT" FROM m_price_feed""",
+)
+def stream_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Several prices per product and day, in different micro-batches: the greatest wins in any order of arrival."""
+    feed, zone = M.raw_price_feed(spark, sf), scratch(spark, "prices")
+    feed.repartition(4, F.xxhash64("list_price")).write.parquet(zone)
+    flow = flows.DimensionFlow(spark, scratch(spark, "products"), ["product_id"], "product_key", feed.schema)
+    flow.run(spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(zone))
+    return flow.materialize().drop("product_key")
+
+
 @query("stream_fact", f"SELECT {FACT} FROM m_fact")
 def stream_fact(spark: SparkSession, sf: str) -> DataFrame:
     s = star(spark, sf)
@@ -364,7 +369,7 @@ def stream_expectations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "star_end_to_end",
-    f"SELECT category_name, year, {MEASURES} FROM m_star GROUP BY category_name, year",
+    f"SELECT category_name, email_domain, year, {MEASURES} FROM m_star GROUP BY category_name, email_domain, year",
 )
 def star_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Everything as triggered streams: both dimensions first, then the fact, then a read."""
@@ -376,15 +381,10 @@ def star_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
         FLOW_RULES["dim_product"],
     )
     products.run(product_changes)
-    domains = _stream(spark, sf, "orders").select(
-        F.col("o_custkey").alias("customer_id"),
-        F.lower("o_orderpriority").alias("email_domain"),
-        F.col("o_orderdate").alias(SEQUENCE),
-    )
-    customer_changes = M.customer_source(spark, sf, domains)
+    customer_changes = M.customer_source(spark, sf, M.domain_changes(_stream(spark, sf, "orders")))
     customers = flows.DimensionFlow(
         spark, f"{home}/customer", ["customer_id"], "customer_key", customer_changes.schema,
-        FLOW_RULES["dim_customer"],
+        FLOW_RULES["dim_customer"], prefer=M.CUSTOMER_PREFER,
     )
     customers.run(customer_changes)
     p, c = products.materialize(), customers.materialize()
@@ -394,7 +394,7 @@ def star_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     dates = S.calendar_of(orders, "ordered_at")
     return (
         S.star_join(fact.fact(), p, c, dates)
-        .groupBy("category_name", "year")
+        .groupBy("category_name", "email_domain", "year")
         .agg(
             F.count("*").alias("lines"),
             F.sum("quantity").alias("quantity"),

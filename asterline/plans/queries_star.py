@@ -34,23 +34,25 @@ def proj_product_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "proj_unknown_category",
-    """SELECT product_id, COALESCE(category_name, 'Unknown') AS category_name
-       FROM m_product LEFT JOIN m_category USING (category_id)""",
+    """SELECT doc_id, COALESCE(CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END, 'Unknown') AS category_name
+       FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def proj_unknown_category(spark: SparkSession, sf: str) -> DataFrame:
-    named = lookup.lookup(M.product(spark, sf), M.category(spark, sf), "category_id", ["category_name"])
-    return named.select("product_id", scalars.known_name("category_name").alias("category_name"))
+    """Documents by the name of their label; most have no label."""
+    documents, labels = M.labelled(spark, sf)
+    named = lookup.lookup(documents, labels, "doc_id", ["category_name"])
+    return named.select("doc_id", scalars.known_name("category_name").alias("category_name"))
 
 
 @query(
     "proj_unknown_member",
-    """SELECT p.product_id, COALESCE(c.category_id, -1) AS category_key
-       FROM m_product p LEFT JOIN m_category c USING (category_id)""",
+    """SELECT d.doc_id, COALESCE(l.quality, -1) AS category_key
+       FROM documents d LEFT JOIN labels l USING (doc_id)""",
 )
 def proj_unknown_member(spark: SparkSession, sf: str) -> DataFrame:
-    listed = M.category(spark, sf).withColumn("category_key", F.col("category_id"))
-    found = lookup.lookup(M.product(spark, sf), listed, "category_id", ["category_key"])
-    return found.select("product_id", scalars.known_key("category_key").alias("category_key"))
+    documents, labels = M.labelled(spark, sf)
+    found = lookup.lookup(documents, labels, "doc_id", ["category_key"])
+    return found.select("doc_id", scalars.known_key("category_key").alias("category_key"))
 
 
 @query(
@@ -135,13 +137,12 @@ def filter_no_address(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_lookup_left",
-    """SELECT p.product_id, p.product_name, c.category_name FROM m_product p
-       LEFT JOIN m_category c USING (category_id)""",
+    """SELECT d.doc_id, d.source, CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS category_name
+       FROM documents d LEFT JOIN labels l USING (doc_id)""",
 )
 def join_lookup_left(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup.lookup(
-        M.product(spark, sf), M.category(spark, sf), "category_id", ["category_name"]
-    ).select("product_id", "product_name", "category_name")
+    documents, labels = M.labelled(spark, sf)
+    return lookup.lookup(documents, labels, "doc_id", ["category_name"]).select("doc_id", "source", "category_name")
 
 
 @query(
@@ -210,13 +211,19 @@ def join_asof_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "anti_dangling_lines",
-    """SELECT p.product_id, p.category_id FROM m_product p
-       WHERE NOT EXISTS (SELECT 1 FROM m_category c WHERE c.category_id = p.category_id)""",
+    """SELECT order_id, line_number, product_id FROM m_order_line l WHERE NOT EXISTS (
+         SELECT 1 FROM m_order o JOIN m_price_feed f ON f.updated_at <= o.ordered_at
+         WHERE o.order_id = l.order_id AND f.product_id = l.product_id)""",
 )
 def anti_dangling_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines whose product has no price yet when they are ordered."""
+    first = M.price_feed(spark, sf).groupBy("product_id").agg(F.min("updated_at").alias("first_at"))
+    lines = M.order_line(spark, sf).join(M.order(spark, sf).select("order_id", "ordered_at"), "order_id")
+    known = lines.join(first, "product_id").where("first_at <= ordered_at").select("order_id", "line_number", "product_id")
     return lookup.dangling(
-        M.product(spark, sf), M.category(spark, sf), "category_id", "category_id"
-    ).select("product_id", "category_id")
+        M.order_line(spark, sf).select("order_id", "line_number", "product_id", F.struct("order_id", "product_id").alias("pair")),
+        known.select(F.struct("order_id", "product_id").alias("pair")).distinct(), "pair", "pair",
+    ).select("order_id", "line_number", "product_id")
 
 
 @query(
@@ -287,7 +294,9 @@ def change_against_state(spark: SparkSession, sf: str) -> DataFrame:
        UNION ALL SELECT 'order.customer', count(*),
               count(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM m_customer)) FROM m_order
        UNION ALL SELECT 'product.category', count(*),
-              count(*) FILTER (WHERE category_id NOT IN (SELECT category_id FROM m_category)) FROM m_product""",
+              count(*) FILTER (WHERE category_id NOT IN (SELECT category_id FROM m_category)) FROM m_product
+       UNION ALL SELECT 'document.label', count(*),
+              count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) FROM documents""",
 )
 def ref_integrity(spark: SparkSession, sf: str) -> DataFrame:
     line, order, product = M.order_line(spark, sf), M.order(spark, sf), M.product(spark, sf)
@@ -297,6 +306,7 @@ def ref_integrity(spark: SparkSession, sf: str) -> DataFrame:
             "line.product": (line, product, "product_id", "product_id"),
             "order.customer": (order, M.customer(spark, sf), "customer_id", "customer_id"),
             "product.category": (product, M.category(spark, sf), "category_id", "category_id"),
+            "document.label": (*M.labelled(spark, sf), "doc_id", "doc_id"),
         }
     )
 
@@ -426,6 +436,25 @@ def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     ).drop(SEQUENCE)
 
 
+@query(
+    "surrogate_keys_rebuild",
+    """SELECT product_id, "__START_AT", "__START_AT" < TIMESTAMP '1997-01-01' AS was_stored,
+              "__START_AT" < TIMESTAMP '1997-01-01' AS same_key, 1 AS versions_of_key FROM m_dim_product""",
+)
+def surrogate_keys_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """The older part of the feed is numbered first, then all of it: old versions keep their keys, new ones get others."""
+    feed = scd2.versions(M.price_feed(spark, sf), ["product_id"], unique=True).select("product_id", SEQUENCE, START)
+    old = feed.where(F.col(SEQUENCE) < F.expr("TIMESTAMP_NTZ'1997-01-01 00:00:00'"))
+    first = stored(assign_keys(old, ["product_id"], SEQUENCE, "product_key"), "keys")
+    both = stored(assign_keys(feed, ["product_id"], SEQUENCE, "product_key", stored=first), "keys")
+    times = both.groupBy("product_key").agg(F.count("*").cast("int").alias("versions_of_key"))
+    had = first.select("product_id", SEQUENCE, F.col("product_key").alias("had"))
+    return both.join(had, ["product_id", SEQUENCE], "left").join(times, "product_key").select(
+        "product_id", START, F.col("had").isNotNull().alias("was_stored"),
+        F.coalesce(F.col("had") == F.col("product_key"), F.lit(False)).alias("same_key"), "versions_of_key",
+    )
+
+
 # --- aggregates --------------------------------------------------------------------
 
 

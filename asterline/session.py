@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in spark.checkpoint.dir. Only a local master may fall
-    back on a folder of this machine; elsewhere its absence is an error.
+    The cluster names it in spark.checkpoint.dir. Only a local master may go without:
+    there the folder lies in the warehouse; elsewhere its absence is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_DIR, None)
@@ -47,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="asterline-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+        context.setCheckpointDir(f"{warehouse}/_asterline-shared")
     # Spark appends a UUID of its own to the folder it was given.
     return os.path.dirname(context.getCheckpointDir())
 

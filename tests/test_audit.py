@@ -91,18 +91,30 @@ def test_empty_chain_is_intact(spark, chain):
     assert rows["a"].entries == 5
 
 
-def test_long_chains_are_cut_into_anchored_segments(spark):
-    """A chain of 50 in segments of 4: three levels, each of them verifies."""
-    log = L.build(entries(spark, 50), "at", segment=4).cache()
-    firsts = log.filter("sequence % 4 = 0").select("previous_hash").distinct().collect()
-    assert [r.previous_hash for r in firsts] == [scalars.GENESIS]
-    levels = L.seal(log, segment=4)
-    assert [level.count() for level in levels] == [13, 4]
-    for level in [log, *levels]:
-        (row,) = L.verify(level.withColumn("line", F.col("sequence")), "line", segment=4).collect()
-        assert row.intact
-    tail = log.filter("sequence = 3").first().entry_hash
-    assert json.loads(levels[0].filter("sequence = 0").first().payload) == {"entries": 4, "tail": tail}
+def test_appending_continues_the_stored_chain(spark):
+    whole = sorted(map(tuple, L.build(entries(spark, 50), "at").collect()))
+    first = L.build(entries(spark, 50).filter("at < 20"), "at").cache()
+    more = L.build(entries(spark, 50).filter("at >= 20"), "at", first)
+    assert sorted(map(tuple, first.unionByName(more).collect())) == whole
+    other = L.build(entries(spark, 2, "b"), "at", first).orderBy("sequence").collect()
+    assert [r.sequence for r in other] == [0, 1] and other[0].previous_hash == scalars.GENESIS
+
+
+@pytest.mark.parametrize("at", [2, 4])
+@pytest.mark.parametrize("field", ["sequence", "previous_hash", "entry_hash", "machine", "payload"])
+def test_an_erased_field_is_a_break(chain, field, at):
+    bad = chain.withColumn(field, F.when(F.col("line") != at, F.col(field)))
+    entries, intact, broken, _ = verified(bad)
+    assert (entries, intact, broken) == (5, False, at)
+
+
+def test_a_rehashed_stretch_breaks_where_it_ends(spark):
+    log = L.build(entries(spark, 40), "at").withColumn("line", F.col("sequence")).cache()
+    head = log.filter("sequence < 8").drop("line")
+    forged = entries(spark, 16).filter("at >= 8").withColumn("payload", F.lit("{}"))
+    stretch = L.build(forged, "at", head).withColumn("line", F.col("sequence"))
+    bad = log.filter("sequence < 8 OR sequence > 15").unionByName(stretch)
+    assert verified(bad) == (40, False, 16, "previous_hash does not match the preceding record")
 
 
 LOG = [

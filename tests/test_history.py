@@ -174,6 +174,15 @@ def test_neighbours_and_positions(spark, width):
     assert [r.p for r in placed if r.k == 1] == list(range(30))
 
 
+def test_a_rebuild_renumbers_nothing(spark):
+    rows = [(k, n) for k in range(30) for n in range(10)]
+    whole = spark.createDataFrame(rows, f"k long, {SEQUENCE} long")
+    first = assign_keys(whole.filter((F.col("k") % 3 != 0) & (F.col(SEQUENCE) < 7)), ["k"], SEQUENCE, "key").cache()
+    again = {(r.k, r[SEQUENCE]): r.key for r in assign_keys(whole, ["k"], SEQUENCE, "key", stored=first).collect()}
+    assert len(again) == 300 and len(set(again.values())) == 300
+    assert all(again[(r.k, r[SEQUENCE])] == r.key for r in first.collect())
+
+
 def test_keys_are_unique_stable_and_continue(spark):
     df = frame(spark, [(k, n, 0) for k in range(20) for n in range(50)])
     one = assign_keys(df, ["k"], SEQUENCE, "key")

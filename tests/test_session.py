@@ -38,10 +38,10 @@ def test_a_cluster_without_a_folder_is_refused():
         session.shared_dir(fake("spark://host:7077"))
 
 
-def test_only_a_local_master_falls_back_on_this_machine():
+def test_only_a_local_master_falls_back_on_its_warehouse():
     spark = fake("local[4]")
     first = session.shared_dir(spark)
-    assert "asterline-" in first and session.shared_dir(spark) == first
+    assert first == "spark-warehouse/_asterline-shared" and session.shared_dir(spark) == first
 
 
 def test_stored_and_cut_keep_the_rows(spark):

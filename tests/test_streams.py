@@ -43,6 +43,30 @@ def test_late_and_repeated_changes(spark, tmp_path):
     assert before < after and len({key for key, _, _ in after}) == 4
 
 
+def test_conflicts_do_not_depend_on_arrival(spark, tmp_path):
+    import itertools
+
+    rows = [(1, 0, 1), (1, 0, 9), (1, 0, 5), (1, 4, 2)]
+    parts = [[rows[0], rows[3]], [rows[1]], [rows[2], rows[1]]]
+    found = set()
+    for n, order in enumerate(itertools.permutations(parts)):
+        flow = flows.DimensionFlow(spark, str(tmp_path / str(n)), ["k"], "key", frame(spark, []).schema)
+        for number, part in enumerate(order):
+            flow.write(frame(spark, part), number)
+        assert flow.log().count() == 4
+        pairs = flow.log().where("key IS NOT NULL").select("k", SEQUENCE, "key").distinct().collect()
+        assert len(pairs) == 2 and len({r.key for r in pairs}) == 2
+        found.add(tuple(history(flow)))
+    assert len(found) == 1, found
+    assert found.pop()[0][2] == 9
+
+
+def test_divisions_are_those_of_the_first_run(spark, tmp_path):
+    schema = frame(spark, []).schema
+    flows.DimensionFlow(spark, str(tmp_path), ["k"], "key", schema, buckets=4)
+    assert flows.DimensionFlow(spark, str(tmp_path), ["k"], "key", schema, buckets=9).buckets == 4
+
+
 def test_a_retried_batch_writes_the_same(spark, tmp_path):
     flow = flows.DimensionFlow(spark, str(tmp_path), ["k"], "key", frame(spark, []).schema)
     batches = [frame(spark, [(k, n, n) for k in range(4) for n in range(i, 20, 3)]) for i in range(3)]
