@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asterline.llm.bitmaps import bitmap, marked
 from asterline.llm.components import components
 from asterline.llm.textparts import SHINGLE, shingles
 from asterline.session import stored
@@ -38,7 +39,7 @@ BLOCK = 2048
 #: Shingles known as frequent: at most so many, the most frequent, met twice in some task's part of the corpus.
 FREQUENT = 1 << 17
 #: Best candidates of each member that are verified before the rest.
-BEST = 4
+BEST = 1
 
 
 def needed(a, b):
@@ -46,7 +47,7 @@ def needed(a, b):
     return -(-SHARE * (a + b) // (100 + SHARE))
 
 
-def bitmap(hashes):
+def signature(hashes):
     """Bits of the hashes as 64-bit words, and how many hashes share a bit with another before them."""
     import numpy as np
 
@@ -180,11 +181,11 @@ def frequent(docs: DataFrame, text: str = "text"):
 
     found = (
         docs.select(text).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-        .where("n > 8").orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+        .where("n > 8").orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     )
-    token = found["token"].to_numpy(np.int64).view(np.uint64)
+    token = found["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return token[order], found["n"].to_numpy(np.int64)[order]
+    return token[order], found["n"].to_numpy()[order]
 
 
 def sets(docs: DataFrame, known, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,7 +203,7 @@ def sets(docs: DataFrame, known, ident: str = "doc_id", text: str = "text") -> D
                 for t in some.column(2).to_pylist():
                     s = shingles((t or "").encode())
                     n = len(s)
-                    b, h = bitmap(s)
+                    b, h = signature(s)
                     if len(token) and n:
                         k = np.searchsorted(token, s).clip(max=len(token) - 1)
                         weight = np.where(token[k] == s, count[k], 0)
@@ -228,19 +229,33 @@ def sets(docs: DataFrame, known, ident: str = "doc_id", text: str = "text") -> D
 
 
 def lists(classes: DataFrame) -> DataFrame:
-    """(list, node): classes that share a shingle of their prefix, each different list once; long ones as pairs of blocks."""
-    tokens = classes.select("node", F.explode("first").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    met = tokens.join(shared, "token").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    """(list, n, node): classes that share a shingle of their prefix, each different list once; long ones as pairs of blocks."""
+    shared = classes.select(F.explode("first").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(shared, "jaccard-shared")
+    met = bitmap(shared, "token")
+
+    def some(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        # Most shingles occur once; those that cannot be shared do not reach the shuffle.
+        for batch in batches:
+            first = batch.column(1)
+            token = first.flatten().to_numpy()
+            node = np.repeat(batch.column(0).to_numpy(), np.diff(first.offsets.to_numpy()))
+            keep = marked(met.value, token)
+            yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(token[keep])], names=["node", "token"])
+
+    tokens = classes.select("node", "first").mapInArrow(some, "node long, token long")
+    found = tokens.join(shared, "token").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     # Block pairs (i, j) with i <= j that this member belongs to.
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                         lambda k: F.struct(F.least(k, own).alias("i"), F.greatest(k, own).alias("j")))
-    short = met.where("blocks = 1").select("token", F.lit(0).alias("i"), F.lit(0).alias("j"), "node")
-    long = met.where("blocks > 1").select("token", F.explode(pairs).alias("p"), "node").select("token", "p.i", "p.j", "node")
-    members = short.unionByName(long).groupBy("token", "i", "j").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    members = found.select("token", F.explode(pairs).alias("p"), "node").groupBy("token", "p.i", "p.j").agg(
+        F.sort_array(F.collect_list("node")).alias("nodes"))
     once = members.groupBy(F.xxhash64("nodes").alias("list"), F.size("nodes").alias("n")).agg(F.first("nodes").alias("nodes"))
-    return once.select("list", "n", F.explode("nodes").alias("node"))
+    return once.where("n > 1").select("list", "n", F.explode("nodes").alias("node"))
 
 
 def _candidates(listed: DataFrame, classes: DataFrame, best: int | None) -> DataFrame:
@@ -289,31 +304,33 @@ def _candidates(listed: DataFrame, classes: DataFrame, best: int | None) -> Data
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, text: str) -> DataFrame:
     """The candidates whose whole sets overlap enough; the sets of classes in pairs are built from one text of each."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(classes.select("node", "doc_id", "tie"), "node")
+    ends = [classes.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("tie").alias(f"{x}_tie")) for x in "ab"]
+    pairs = stored(pairs.join(ends[0], "a").join(ends[1], "b"), "jaccard-ends")
+    met = bitmap(pairs.select(F.explode(F.array("a_tie", "b_tie")).alias("tie")), "tie")
 
     def build(batches):
         import numpy as np
         import pyarrow as pa
 
+        # Texts of no pair end here; sets are all that travels.
         for batch in batches:
+            batch = batch.filter(pa.array(marked(met.value, batch.column(1).to_numpy())))
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
-                all_sets = [shingles((t or "").encode()).view(np.int64) for t in some.column(1).to_pylist()]
+                all_sets = [shingles((t or "").encode()).view(np.int64) for t in some.column(2).to_pylist()]
                 offsets = pa.array(np.cumsum([0, *map(len, all_sets)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_sets)))], names=["node", "shingles"])
-
-    texts = _text(docs, ident, text)
-    # Rows repeated with the same id and text are one class's text several times; one is enough.
-    found = texts.alias("t").join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.tie") == F.col("w.tie")))
-    whole = stored(found.select("node", "text").dropDuplicates(["node"]).mapInArrow(build, "node long, shingles array<long>"), "jaccard-sets")
-    both = (
-        pairs.join(whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(whole.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    )
+                    [*some.columns[:2], pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_sets)))],
+                    names=["doc_id", "tie", "shingles"])
+
+    whole = stored(_text(docs, ident, text).mapInArrow(build, "doc_id long, tie long, shingles array<long>"), "jaccard-sets")
+    for x in "ab":
+        side = whole.select(F.col("doc_id").alias("s_doc"), F.col("tie").alias("s_tie"), F.col("shingles").alias(f"s{x}"))
+        on = F.col(f"{x}_doc").eqNullSafe(F.col("s_doc")) & (F.col(f"{x}_tie") == F.col("s_tie"))
+        pairs = pairs.join(side, on).drop("s_doc", "s_tie")
     overlap = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * overlap >= SHARE * (F.size("sa") + F.size("sb") - overlap)).select("a", "b")
+    # A row repeated with id and text meets its pairs again.
+    return pairs.where(100 * overlap >= SHARE * (F.size("sa") + F.size("sb") - overlap)).select("a", "b").distinct()
 
 
 def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
