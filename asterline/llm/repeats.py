@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asterline.llm.bitmaps import bitmap, marked
 from asterline.llm.suffixes import permuted_prefixes, suffix_arrays
 from asterline.llm.textparts import _ODD, mix
 from asterline.session import stored
@@ -33,14 +34,14 @@ WINDOW = 100
 GRAM = 36
 #: Starts whose grams are compared: each window holds so many.
 SPAN = WINDOW - GRAM + 1
-#: Bits of the bitmap of grams met more than once (its size is fixed: 16 MB).
-MET = 27
+#: Classes of a lane.
 LANE = 128
 #: Bytes of a batch of lanes, places included.
 BATCH = 3 << 20
 #: Starts of a long text that are taken at a time.
 PIECE = 1 << 20
 NO_ID = -(1 << 63)
+_RAISED = bytes(min(b + 2, 255) for b in range(256))
 
 
 def _powers(count: int):
@@ -92,10 +93,10 @@ class Anchors:
 
 
 def _met(rows: DataFrame):
-    """A bitmap of all grams that occur more than once: a broadcast array of 2**MET bits."""
-    import numpy as np
+    """A bitmap of all grams that occur more than once."""
 
     def grams(batches):
+        import numpy as np
         import pyarrow as pa
 
         tool = Anchors()
@@ -105,12 +106,7 @@ def _met(rows: DataFrame):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["gram"])
 
     more = rows.select("data").mapInArrow(grams, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    bit = F.expr(f"gram & {(1 << MET) - 1}")
-    words = more.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(gram & {(1 << MET) - 1} & 63 AS INT))")).alias("bits"))
-    found = words.toPandas()
-    bitmap = np.zeros(1 << (MET - 6), np.uint64)
-    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return rows.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap(more, "gram")
 
 
 def _snippets(rows: DataFrame) -> DataFrame:
@@ -121,14 +117,13 @@ def _snippets(rows: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        tool, bitmap = Anchors(), met.value
+        tool, table = Anchors(), met.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some, cols, contents = batch.slice(at, 256), [], []
                 for doc, tie, data in zip(*(some.column(i).to_pylist() for i in range(3))):
                     gram, content, start, starts, anchor = tool.snippets(data)
-                    low = gram & np.uint64((1 << MET) - 1)
-                    keep = (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+                    keep = marked(table, gram)
                     s, k = start[keep], starts[keep]
                     cols.append((gram[keep].view(np.int64), content[keep].view(np.int64), np.full(len(s), doc, np.int64), np.full(len(s), tie, np.int64), s, k))
                     contents += [data[x : x + y] for x, y in zip(s.tolist(), (k + WINDOW - 1).tolist())]
@@ -140,48 +135,44 @@ def _snippets(rows: DataFrame) -> DataFrame:
         cut, "gram long, content long, doc long, tie long, start long, starts long, data binary")
 
 
-def repeated_windows(lanes):
-    """Per lane, a list of snippets (doc, start, starts, bytes, ...): snippet, offset, doc, start and hit of each window.
+def repeated_windows(lanes, docs, starts, counts):
+    """Windows of snippets that start earlier in another snippet of their lane: snippet, offset and hit of each window.
 
-    hit: the same window starts earlier in another snippet of the lane. All lanes are sorted together.
+    lanes: lists of snippets' bytes; docs, starts, counts: document, first start and number of starts of each snippet, lane by
+    lane. All lanes are sorted together.
     """
     import numpy as np
 
-    sizes = [sum(len(s[3]) + 1 for s in lane) + 1 for lane in lanes]
-    T, n = np.zeros((len(lanes), max(sizes)), np.int32), np.array(sizes)
-    places = []
-    for row, lane in zip(T, lanes):
-        at, where = 0, []
-        for snippet in lane:
-            where.append(at)
-            row[at : at + len(snippet[3])] = np.frombuffer(snippet[3], np.uint8)
-            row[at : at + len(snippet[3])] += 2
-            row[at + len(snippet[3])] = 1
-            at += len(snippet[3]) + 1
-        places.append(where)
-    SA = suffix_arrays(T, n, 258)
-    out = []
-    for row, size, sa, lane, where in zip(T, sizes, SA, lanes, places):
-        sa = sa[:size].astype(np.int64)
-        common, before = permuted_prefixes(row[:size], sa, WINDOW)
-        starts = np.array([s[2] for s in lane])
-        snippet = np.repeat(np.arange(len(lane)), starts)
-        offset = np.arange(int(starts.sum())) - np.repeat(np.cumsum(starts) - starts, starts)
-        place = np.array(where)[snippet] + offset
-        # Suffixes that agree in WINDOW bytes stand together in SA; the number of such a group for each place.
-        group = np.empty(size, np.int64)
-        group[sa] = np.cumsum(common[sa] < WINDOW)
-        doc = np.array([s[0] for s in lane], np.int64)[snippet]
-        start = np.array([s[1] for s in lane], np.int64)[snippet] + offset
-        order = np.lexsort((start, doc, group[place]))
-        g = group[place][order]
-        head = np.flatnonzero(np.diff(g, prepend=-1))
-        lead = np.repeat(head, np.diff(np.append(head, len(g))))
-        later = (doc[order] != doc[order][lead]) | (start[order] != start[order][lead])
-        hit = np.zeros(len(order), bool)
-        hit[order] = later
-        out.append((snippet, offset, doc, start, hit))
-    return out
+    # A lane: its snippets, each with an end of 1, and an end of 0 (UTF-8 has no bytes above 244).
+    data = [b"".join([x for s in lane for x in (s.translate(_RAISED), b"\1")]) + b"\0" for lane in lanes]
+    size = np.array([len(x) for x in data])
+    text = np.frombuffer(b"".join(data), np.uint8)
+    used = np.zeros(256, np.int32)
+    used[np.unique(text)] = 1
+    letters = np.cumsum(used) - 1
+    T = np.zeros((len(lanes), int(size.max())), np.int32)
+    inside = np.arange(T.shape[1])[None, :] < size[:, None]
+    T[inside] = letters[text]
+    first = np.cumsum(size) - size
+    order = (suffix_arrays(T, size, int(used.sum())) + first[:, None])[inside]
+    common, _ = permuted_prefixes(text, order, first, WINDOW)
+
+    length = np.array([len(s) + 1 for lane in lanes for s in lane])
+    lane = np.repeat(np.arange(len(lanes)), [len(x) for x in lanes])
+    place = np.cumsum(length) - length + lane
+    snippet = np.repeat(np.arange(len(length)), counts)
+    offset = np.arange(len(snippet)) - np.repeat(np.cumsum(counts) - counts, counts)
+    # Suffixes that agree in WINDOW bytes stand together in their order; the number of such a group for each place.
+    group = np.empty(len(text), np.int64)
+    group[order] = np.cumsum(common[order] < WINDOW)
+    group = group[place[snippet] + offset]
+    doc, start = docs[snippet], starts[snippet] + offset
+    by = np.lexsort((start, doc, group))
+    head = np.flatnonzero(np.diff(group[by], prepend=-1))
+    lead = by[np.repeat(head, np.diff(np.append(head, len(by))))]
+    hit = np.zeros(len(by), bool)
+    hit[by] = (doc[by] != doc[lead]) | (start[by] != start[lead])
+    return snippet, offset, hit
 
 
 def _matches(classes: DataFrame) -> DataFrame:
@@ -195,32 +186,30 @@ def _matches(classes: DataFrame) -> DataFrame:
         up = _powers(WINDOW + 1)[0]
 
         def solved(lanes, many):
-            found = [[] for _ in names]
-
-            def add(*values):
-                for to, v in zip(found, values):
-                    to.append(v)
-
-            for lane, wide, (snippet, offset, doc, start, hit) in zip(lanes, many, repeated_windows(lanes)):
-                tie = np.array([s[4] for s in lane], np.int64)[snippet]
-                h = np.flatnonzero(hit)
-                if len(h):
-                    # Neighbouring starts of one snippet are one run.
-                    new = np.flatnonzero((np.diff(h, prepend=-2) > 1) | (np.diff(snippet[h], prepend=-1) > 0))
-                    stop = np.append(new[1:], len(h)) - 1
-                    add(doc[h[new]], tie[h[new]], start[h[new]], start[h[stop]] + WINDOW, None, None)
-                if wide:
-                    f = np.flatnonzero(~hit)
-                    data = [np.frombuffer(s[3], np.uint8) for s in lane]
-                    rows = np.stack([data[s][o : o + WINDOW] for s, o in zip(snippet[f], offset[f])]).astype(np.uint64) + np.uint64(1)
-                    one = (rows * up[:WINDOW]).sum(1, dtype=np.uint64)
-                    two = mix(rows * np.uint64(_ODD[0]) + np.arange(WINDOW, dtype=np.uint64) * np.uint64(_ODD[1])).sum(1, dtype=np.uint64)
-                    add(doc[f], tie[f], start[f], start[f] + WINDOW, mix(one).view(np.int64), two.view(np.int64))
-            cols = []
-            for i, _ in enumerate(names):
-                parts = [pa.nulls(len(found[0][k]), pa.int64()) if v is None else pa.array(v, pa.int64()) for k, v in enumerate(found[i])]
-                cols.append(pa.concat_arrays(parts) if parts else pa.array([], pa.int64()))
-            return pa.RecordBatch.from_arrays(cols, names=names)
+            rows = [s for lane in lanes for s in lane]
+            doc, start, count, tie = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 2, 4))
+            wide = np.repeat(many, [len(x) for x in lanes])
+            snippet, offset, hit = repeated_windows([[s[3] for s in lane] for lane in lanes], doc, start, count)
+            h = np.flatnonzero(hit)
+            # Neighbouring starts of one snippet are one run.
+            new = np.flatnonzero((np.diff(h, prepend=-2) > 1) | (np.diff(snippet[h], prepend=-1) != 0))
+            last = np.append(new[1:], len(h))[: len(new)] - 1
+            a, b = h[new], h[last]
+            none = pa.nulls(len(a), pa.int64())
+            found = [[doc[snippet[a]], tie[snippet[a]], start[snippet[a]] + offset[a], start[snippet[b]] + offset[b] + WINDOW]]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in found[0]], none, none], names=names)
+            # What stays first in a lane of a gram with several lanes meets the others by its hash.
+            f = np.flatnonzero(~hit & wide[snippet])
+            data = [np.frombuffer(r[3], np.uint8) for r in rows]
+            for i in range(0, len(f), 8192):
+                some = f[i : i + 8192]
+                s, o = snippet[some], offset[some]
+                bytes_ = np.stack([data[x][y : y + WINDOW] for x, y in zip(s.tolist(), o.tolist())]).astype(np.uint64) + np.uint64(1)
+                one = mix((bytes_ * up[:WINDOW]).sum(1, dtype=np.uint64))
+                two = mix(bytes_ * np.uint64(_ODD[0]) + np.arange(WINDOW, dtype=np.uint64) * np.uint64(_ODD[1])).sum(1, dtype=np.uint64)
+                at = start[s] + o
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.int64()) for x in (doc[s], tie[s], at, at + WINDOW, one.view(np.int64), two.view(np.int64))], names=names)
 
         def batches_of(groups):
             """Lanes of like length together, so that little of a batch is empty."""
@@ -229,11 +218,11 @@ def _matches(classes: DataFrame) -> DataFrame:
             for lane, wide in groups:
                 size = sum(len(s[3]) + 1 for s in lane) + 1
                 if lanes and (len(lanes) + 1) * size > BATCH:
-                    yield solved(lanes, many)
+                    yield from solved(lanes, many)
                     lanes, many = [], []
                 lanes.append(lane), many.append(wide)
             if lanes:
-                yield solved(lanes, many)
+                yield from solved(lanes, many)
 
         key, lane, wide, groups, held = None, [], False, [], 0
         for batch in batches:
@@ -269,16 +258,26 @@ def covered(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataF
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"))
     snippets = stored(_snippets(rows.where(F.octet_length("data") >= WINDOW)), "repeat-snippets")
     key = ["gram", "content"]
-    classes = snippets.groupBy(*key).agg(
-        F.min(F.struct("doc", "start", "tie")).alias("first"), F.count("*").alias("n"), F.first("starts").alias("starts"),
-        F.first("data").alias("data"))
-    classes = stored(classes, "repeat-classes")
+    classes = stored(
+        snippets.groupBy(*key).agg(F.min(F.struct("doc", "start", "tie")).alias("first"), F.count("*").alias("n")), "repeat-classes"
+    )
     whole = (
         snippets.drop("data").join(classes.where("n > 1").select(*key, "first"), key)
-        .where("struct(first.doc, first.start) < struct(doc, start)").select("doc", "tie", "start", (F.col("start") + F.col("starts") + WINDOW - 1).alias("stop"))
+        .where("struct(first.doc, first.start) < struct(doc, start)")
+        .select("doc", "tie", "start", (F.col("start") + F.col("starts") + WINDOW - 1).alias("stop"))
     )
-    mixed = classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
-    parts = _matches(classes.join(mixed, "gram").select("gram", "content", "classes", "first.doc", "first.tie", "first.start", "starts", "data"))
+    mixed = stored(classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1"), "repeat-mixed")
+    heads = classes.join(mixed, "gram").select(*key, "classes", "first.doc", "first.start")
+    met = bitmap(mixed, "gram")
+
+    def some(batches):
+        import pyarrow as pa
+
+        # Bytes of snippets that no suffix array needs do not reach the shuffle.
+        for batch in batches:
+            yield batch.filter(pa.array(marked(met.value, batch.column(0).to_numpy())))
+
+    parts = _matches(snippets.mapInArrow(some, snippets.schema).join(heads, [*key, "doc", "start"]))
     spans = whole.unionByName(parts)
     return spans.groupBy("doc", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 

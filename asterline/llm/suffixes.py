@@ -56,7 +56,7 @@ def induced(T, n, K, smaller, lane, at):
     flat, sa, width = T.ravel(), SA.ravel(), N
     larger = ~smaller.ravel()
     rows = np.arange(G)
-    head = heads.ravel().copy()
+    head = heads.ravel()
     small = smaller.ravel()
     tail = ends.ravel().copy()
     for scan, kind, edge, step in ((range(N), larger, head, 1), (range(N - 1, -1, -1), small, tail, -1)):
@@ -140,26 +140,36 @@ def suffix_arrays(T, n, K):
         ol, oc = np.nonzero(order >= 0)
         replace = again[sl]
         sorted_at[replace] = back[ol, order[ol, oc]]
-    return induced(T, n, K, smaller, sl, sorted_at)
+    SA = induced(T, n, K, smaller, sl, sorted_at)
+    SA[n == 1, 0] = 0  # nothing falls or rises in a lane of one character
+    return SA
 
 
-def permuted_prefixes(text, SA, limit):
-    """For each place, in text order, how long its suffix agrees with the one before it in SA, up to `limit`; and that one.
+def permuted_prefixes(text, order, first, limit):
+    """For each place, in text order, how long its suffix agrees with the one before it in its lane's order, up to `limit`;
+    and the place of that one, or -1.
 
-    text: bytes of one lane as an array, SA: its suffix array (without padding).
+    text: bytes of all lanes one after another, each with its end of 0; order: their suffix arrays as places in text;
+    first: where each lane begins. Eight bytes are compared at a time.
     """
     import numpy as np
 
-    n = len(SA)
+    n = len(text)
     before = np.full(n, -1, np.int64)
-    before[SA[1:]] = SA[:-1]
+    before[order[1:]] = order[:-1]
+    before[order[first]] = -1
+    padded = np.concatenate([text, np.zeros(limit + 16, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view("<u8").ravel()
     common = np.zeros(n, np.int32)
-    padded = np.concatenate([text, np.zeros(limit + 1, text.dtype)])
     i = np.flatnonzero(before >= 0)
-    for k in range(limit):
-        same = padded[i + k] == padded[before[i] + k]
-        i = i[same & (i + k < n) & (before[i] + k < n)]
+    for k in range(0, limit, 8):
+        differ = words[i + k] ^ words[before[i] + k]
+        apart = differ != 0
+        low = differ[apart]
+        equal = np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) // 8
+        common[i[apart]] = np.minimum(limit, k + equal)
+        i = i[~apart]
         if not len(i):
             break
-        common[i] = k + 1
+    common[i] = limit
     return common, before
