@@ -31,8 +31,8 @@ from asterline.session import scratch, stored
 MAGIC = b"IDPACK01"
 BLOCK = 4096
 FILE_IDS = 4 << 20
-#: Pieces whose ids a worker keeps; beyond that it starts anew.
-KEPT_PIECES = 250_000
+#: Pieces in each of the two generations whose ids a worker keeps; the older one goes when the younger is full.
+KEPT_PIECES = 300_000
 ODD_SPACE = re.compile(r"[^\S \n]")
 PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
@@ -116,6 +116,16 @@ class Packed:
         return np.concatenate(out)[start - first * self.block : stop - first * self.block]
 
 
+def byte_characters() -> list[str]:
+    """The printable stand-in of each byte: itself if printable, else the next character from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out, more = [], 256
+    for b in range(256):
+        out.append(chr(b) if b in own else chr(more))
+        more += b not in own
+    return out
+
+
 class Encoder:
     """ids of texts (as little-endian unsigned 32-bit bytes), with the pieces met before kept.
 
@@ -130,12 +140,15 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
-        added = {t.content for t in self.library.get_added_tokens_decoder().values()}
-        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.width[i] = len(token.encode()) if token in added else len(token)  # one character for each byte
+        def own(text: str) -> bytes:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        characters = byte_characters()
+        self.bytes = str.maketrans(dict(enumerate(characters)))
+        self.space, self.line = characters[32], own("\n")
+        self.marks = {c: own(c) for c in ".,;:!?"}
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def keys(self, text: str) -> list[str]:
         odd = any(c in text for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if text.isascii() else ODD_SPACE.search(text)
@@ -150,38 +163,44 @@ class Encoder:
         return out[1:]
 
     def _learn(self, keys: list[str]) -> None:
-        """Pieces that begin with a space or line feed and end in a word are encoded as one text and cut apart again."""
+        """ids of new pieces. A piece of letters, with or without one mark after them, is one or two words to the library's
+        model, which takes them by themselves; any other piece goes through the library whole."""
         import numpy as np
 
-        alone = [k for k in keys if k[:1] == "\r" or k in ("", "\n")]
-        joined = [k for k in keys if k[:1] != "\r" and k not in ("", "\n")]
-        for k, e in zip(alone, self.library.encode_batch_fast(
-                [k[1:] if k[:1] == "\r" else k or " " for k in alone], add_special_tokens=False)):
+        others, model, marks = [], self.library.model.tokenize, self.marks
+        for k in keys:
+            tail = marks.get(k[-1:])
+            word = k[:-1] if tail else k
+            line = word[:1] == "\n"
+            word = word[1:] if line else word
+            if not word.isalpha():
+                others.append(k)
+                continue
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.bytes)
+            ids = [t.id for t in model(word if line else self.space + word)]
+            self.kept[k] = (self.line if line else b"") + np.array(ids, "<u4").tobytes() + (tail or b"")
+        pieces = [k[1:] if k[:1] == "\r" else k if k[:1] == "\n" else " " + k for k in others]
+        for k, e in zip(others, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
             self.kept[k] = np.array(e.ids, "<u4").tobytes()
-        for i in range(0, len(joined), 2048):
-            some = joined[i : i + 2048]
-            pieces = [k if k[0] == "\n" else " " + k for k in some]
-            ids = np.array(self.library.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(x.encode()) for x in pieces])) + 1
-            data, last = ids.tobytes(), 0
-            for k, end in zip(some, ends.tolist()):
-                self.kept[k] = data[4 * last : 4 * end]
-                last = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_PIECES:
-            self.kept.clear()
-        get = self.kept.get
+            self.older, self.kept = self.kept, {}
+        get, kept, older = self.kept.get, self.kept, self.older
         cut = [self.keys(t) for t in texts]
-        out = [[get(k) for k in keys] for keys in cut]
+        out = [list(map(get, keys)) for keys in cut]
         need = {k for keys, ids in zip(cut, out) if None in ids for k, x in zip(keys, ids) if x is None}
-        self._learn(list(need))
+        for k in need & older.keys():
+            kept[k] = older[k]
+        self._learn([k for k in need if k not in kept])
         for keys, ids in zip(cut, out):
             if None in ids:
-                ids[:] = [get(k) if x is None else x for k, x in zip(keys, ids)]
+                ids[:] = map(get, keys)
+        out = [b"".join(ids) for ids in out]
         for k in [k for k in need if len(k) > 256]:
-            del self.kept[k]
-        return [b"".join(ids) for ids in out]
+            del kept[k]
+        return out
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, ident: str = "doc_id", text: str = "text") -> DataFrame:
