@@ -20,7 +20,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterline.llm.packing import per_worker
+from asterline.llm.packing import byte_characters, per_worker
 
 #: Words whose ids a worker keeps; beyond that it starts anew. Pairs of tokens likewise.
 KEPT_WORDS = 700_000
@@ -33,16 +33,6 @@ NO_SPACES = re.compile(f"[^{SPACES}]+")
 CONTROL_SPACES = re.compile("[\x1c-\x1f]")
 
 
-def byte_characters() -> list[str]:
-    """The printable stand-in of each byte: itself if printable, else the next character from 256 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    out, more = [], 256
-    for b in range(256):
-        out.append(chr(b) if b in own else chr(more))
-        more += b not in own
-    return out
-
-
 class Vocabulary:
     """A BPE vocabulary with an end-of-word mark, from a file of the tokenizers library."""
 
@@ -82,6 +72,8 @@ class Vocabulary:
         self.bytes = str.maketrans({b: c for b, c in enumerate(byte_characters())})
         self.pairs: dict[int, bool] = {}
         self.kept: dict[str, list[int]] = {}
+        self.path, self.library = path, None
+        self.assigned: set[str] = set(map(chr, range(128)))
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a then b keep their boundary when their texts are merged together.
@@ -105,7 +97,9 @@ class Vocabulary:
     def word(self, text: str) -> list[int]:
         """ids of one word: the last token of every prefix, then back from the end."""
         chars = text if text.isascii() else text.encode().decode("latin-1")
-        chars = chars.translate(self.bytes)
+        return self._ids(chars.translate(self.bytes))
+
+    def _ids(self, chars: str) -> list[int]:
         n, pairs, size = len(chars), self.pairs, self.size
         last, back = [-1] * (n + 1), [0] * (n + 1)
         if len(pairs) > KEPT_PAIRS:
@@ -139,10 +133,29 @@ class Vocabulary:
         out.reverse()
         return out
 
+    def _known(self, text: str) -> bool:
+        """Whether all characters are assigned in this Python's Unicode."""
+        new = set(text) - self.assigned
+        if any(unicodedata.category(c) == "Cn" for c in new):
+            return False
+        self.assigned |= new
+        return True
+
+    def _newer(self, text: str) -> list[int]:
+        """Text with characters that only a newer Unicode may know is split by the tokenizers library's own tables."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        normal = self.library.normalizer.normalize_str(text)
+        return [i for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal) for i in self._ids(w)]
+
     def _plain(self, text: str) -> list[int]:
         """ids of text without added tokens."""
         if text.isascii():
             text = text.lower()
+        elif not self._known(text):
+            return self._newer(text)
         else:
             # Lower case is taken by character: a capital sigma does not depend on its place.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()

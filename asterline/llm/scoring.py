@@ -98,7 +98,7 @@ def fitted(docs: DataFrame, text: str = "text", target: str = "target"):
     """(target model, background model) over one vocabulary; their size is fixed."""
     import numpy as np
 
-    found = counted(docs, text, target).toPandas()
+    found = counted(docs, text, target).toArrow()
     kind, slot = found["kind"].to_numpy(), found["slot"].to_numpy()
     out = []
     for column in ("target", "background"):
