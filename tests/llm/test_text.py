@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from asterline.llm import bpe, packing, rules, scoring, warc
-from tests.llm.conftest import SF, words
+from tests.llm.conftest import SF, lower, words
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -266,6 +266,54 @@ def test_scores_are_the_models(spark, docs, texts):
         assert math.isclose(r.target_loss, loss["target"]) and math.isclose(r.background_loss, loss["background"])
 
 
+def scores_by_brute_force(rows, good):
+    """(n_tokens, target loss, background loss) of each (id, text), from counts of real words and pairs of words."""
+    models = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    split = [[lower(w) for w in words(t)] for _, t in rows]
+    for (i, _), w in zip(rows, split):
+        for one, first, two in models[0 if i in good else 1 :]:
+            before = [None, *w[:-1]] if w else []
+            one.update(w), first.update(before), two.update(zip(before, w))
+    vocabulary = max(len(models[1][0]), 2**scoring.WORD_BITS)
+    out = []
+    for w in split:
+        loss = []
+        for one, first, two in models:
+            total, sum_ = sum(one.values()), 0.0
+            for b, c in zip([None, *w[:-1]], w):
+                single = (one[c] + 1) / (total + vocabulary)
+                k = scoring.PAIR_WEIGHT if first[b] else 0
+                sum_ -= math.log(k * (two[b, c] / first[b] if first[b] else 0) + (1 - k) * single)
+            loss.append(sum_ / len(w) if w else None)
+        out.append((len(w), *loss))
+    return out
+
+
+def check_scores(spark, frame, good):
+    rows = [(r.doc_id, r.text) for r in frame.collect()]
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    order = lambda found: sorted(found, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0))
+    expected = order((i, *x) for (i, _), x in zip(rows, scores_by_brute_force(rows, good)))
+    got = order((r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in scoring.scored(frame, labels).collect())
+    assert [r[:2] for r in got] == [r[:2] for r in expected]
+    for g, e in zip(got, expected):
+        assert g[2:] == e[2:] or all(math.isclose(x, y, rel_tol=1e-9) for x, y in zip(g[2:], e[2:]))
+
+
+def test_scores_are_those_of_real_words(spark, docs, texts, odd):
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    check_scores(spark, docs.select("doc_id", "text"), good)
+    check_scores(spark, odd.select("doc_id", "text"), {1, 6, 77})
+
+
+def test_scores_of_more_words_than_the_least_vocabulary_in_many_batches(spark, monkeypatch):
+    """400,000 different words, each pair met once: before, words and pairs shared slots."""
+    monkeypatch.setattr(scoring, "BATCH", 7000)
+    monkeypatch.setattr(scoring, "BUCKET", 1 << 18)
+    rows = [(i, " ".join(f"w{k % 400_000}" for k in range(i * 2000, i * 2000 + 2500))) for i in range(200)]
+    check_scores(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), set(range(0, 200, 3)))
+
+
 def test_scores_tell_labels_apart_on_held_out_documents(spark):
     """Half of the labels teach the target, the other half is ranked."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
