@@ -334,7 +334,11 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
 
 
 def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, tie, n_shingles, component_id) for every row; tie is the hash of its text."""
+    """(doc_id, tie, n_shingles, component_id, component) for every row; tie is the hash of its text.
+
+    component_id is a label that components may share (null where all ids are null, or one id with several texts);
+    component is the component itself, null without shingles.
+    """
     rows = stored(sets(docs, frequent(docs, text), ident, text), "jaccard-rows")
     key = ["size", "one", "two"]
     classes = rows.where("size > 0").groupBy(*key).agg(
@@ -355,7 +359,7 @@ def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFr
         named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named.select("node", *key, "least", "component"), "jaccard-named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = named.join(least, "component").select(*key, "component_id")
+    by_class = named.join(least, "component").select(*key, "component_id", "component")
     own = rows.select("doc_id", "tie", *key).join(by_class, key, "left")
     return own.select("doc_id", "tie", F.col("size").alias("n_shingles"),
-                      F.coalesce("component_id", "doc_id").alias("component_id"))
+                      F.coalesce("component_id", "doc_id").alias("component_id"), "component")

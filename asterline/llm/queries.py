@@ -112,7 +112,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_signature_tree_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over distinct 5-word shingles at a Jaccard similarity of 0.75."""
-    return jaccard.joined(table(spark, sf_dir, "documents")).drop("tie")
+    return jaccard.joined(table(spark, sf_dir, "documents")).drop("tie", "component")
 
 
 @register("op3_suffix_arrays")

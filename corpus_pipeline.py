@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words are in no component and stay.
     """
     found = stored(jaccard.joined(docs), "pipeline-classes")
-    kept = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "tie")).alias("k"))
+    kept = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "tie")).alias("k"))
     kept = kept.select("k.*").unionByName(found.where("n_shingles = 0").select("doc_id", "tie").distinct())
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie"))
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_tie"))

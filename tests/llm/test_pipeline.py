@@ -79,6 +79,16 @@ def test_near_duplicates_keep_one_of_each_group(spark, odd):
     assert empties == {None, "", " \t\n\x0b "}
 
 
+def test_near_duplicates_keep_unlinked_texts_of_null_or_equal_ids(spark, docs):
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(8, texts[7]), (None, texts[0] + " end"), (9, texts[7] + " end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = run_stage(spark, "n-gram Jaccard join", frame.repartition(3)).collect()
+    # Of each text or its near copy one row is left.
+    assert sorted(r.text.removesuffix(" end") for r in out) == texts
+    assert sorted(r.doc_id for r in out if r.doc_id is not None) == [7, 7, 7, 8]
+
+
 def test_run_is_the_stages_in_turn(spark, docs):
     out = pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "decoded"} <= set(out.columns)
