@@ -25,18 +25,16 @@ SPACE = r"[\\x20\\x09-\\x0D]"
 
 _WORDS = rf"array_remove(split(coalesce(`{{0}}`, ''), '{SPACE}+'), '')"
 _LINES = rf"transform(filter(split(coalesce(`{{0}}`, ''), '\\n'), l -> l RLIKE '[^\\x20\\x09-\\x0D]'), l -> xxhash64(l))"
-# A window is its hash and its place in one number, so that one sort of numbers brings equal windows together; the hash
-# keeps all bits that the place leaves over. Places of windows that have an equal neighbour, in order, cover up to 3 words each.
+# A window is its whole hash and its place, so that one sort brings equal windows together. Places of windows that have an
+# equal neighbour, in order, cover up to 3 words each.
 _REPEATED = """transform(array({words}), w -> if(size(w) < 4, 0L,
-  transform(array(length(bin(size(w)))), k ->
-    transform(array(sort_array(transform(sequence(0, size(w) - 3),
-        i -> shiftleft(xxhash64(w[i], w[i + 1], w[i + 2]), k) | i))), v ->
-      aggregate(sort_array(transform(filter(sequence(0, size(v) - 1), i ->
-            (i > 0 AND shiftright(v[i], k) = shiftright(v[i - 1], k)) OR
-            (i < size(v) - 1 AND shiftright(v[i], k) = shiftright(v[i + 1], k))),
-          i -> v[i] & (shiftleft(1L, k) - 1))),
-        named_struct('at', -3L, 'n', 0L),
-        (s, p) -> named_struct('at', p, 'n', s.n + least(3L, p - s.at)), s -> s.n))[0])[0]))[0]"""
+  transform(array(sort_array(transform(sequence(0, size(w) - 3),
+      i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, CAST(i AS BIGINT) AS p)))), v ->
+    aggregate(sort_array(transform(filter(sequence(0, size(v) - 1), i ->
+          (i > 0 AND v[i].h = v[i - 1].h) OR (i < size(v) - 1 AND v[i].h = v[i + 1].h)),
+        i -> v[i].p)),
+      named_struct('at', -3L, 'n', 0L),
+      (s, p) -> named_struct('at', p, 'n', s.n + least(3L, p - s.at)), s -> s.n))[0]))[0]"""
 _NO_SPACE = "translate(coalesce(`{0}`, ''), concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)), '')"
 
 #: SQL of each measure of a text column {0}.

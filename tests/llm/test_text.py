@@ -225,6 +225,14 @@ def test_rules_of_odd_rows(spark, odd, empty):
     check_rules(spark.createDataFrame(list(enumerate(tricky)), "doc_id long, text string"))
 
 
+def test_long_texts_compare_whole_hashes(spark):
+    """Two windows whose 64-bit hashes have the last 47 bits in common, all that a text of 70,000 words left of them before."""
+    a, b = 9637275, 14559005
+    long = " ".join([f"p{a} q{a} r{a}", *[f"w{i}" for i in range(70_000)], f"p{b} q{b} r{b}"])
+    row = rules.judged(spark.createDataFrame([(1, long)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_repeat_words, row.kept) == (70_006, 0, True)
+
+
 def test_cascade_order_changes_no_verdict(docs):
     kept = {tuple(r) for r in rules.kept(docs).select("doc_id").collect()}
     for order in (rules.RULES, rules.RULES[::-1]):
