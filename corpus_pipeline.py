@@ -17,6 +17,20 @@ SHARE = 1.5
 MOST = 2.0
 VOCABULARY = "word_bpe_49k.json"
 
+#: Whether the byte at a place, from 0, goes on with a character that began before it.
+_INSIDE = "hex(substring(CAST(text AS BINARY), CAST({0} + 1 AS INT), 1)) BETWEEN '80' AND 'BF'"
+_BACK = "CASE WHEN NOT coalesce({0}, false) THEN r.start WHEN NOT {1} THEN r.start - 1 WHEN NOT {2} THEN r.start - 2 ELSE r.start - 3 END".format(
+    *(_INSIDE.format(f"(r.start - {i})") for i in range(3)))
+_ON = "CASE WHEN NOT {0} THEN r.stop WHEN NOT {1} THEN r.stop + 1 WHEN NOT {2} THEN r.stop + 2 ELSE r.stop + 3 END".format(
+    *(_INSIDE.format(f"(r.stop + {i})") for i in range(3)))
+#: The whole characters outside of repeat_spans.
+WHOLE = f"""CAST(aggregate(
+    concat(transform(repeat_spans, r -> struct({_BACK} AS start, {_ON} AS stop)), array(struct(repeat_bytes AS start, repeat_bytes AS stop))),
+    struct(0L AS at, CAST('' AS BINARY) AS data),
+    (s, r) -> struct(greatest(s.at, r.stop) AS at,
+                     concat(s.data, substring(CAST(text AS BINARY), CAST(s.at + 1 AS INT), CAST(greatest(0L, r.start - s.at) AS INT))) AS data),
+    s -> s.data) AS STRING)"""
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
@@ -42,9 +56,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings met before; a document of which nothing is left goes, one without text stays."""
     found = repeats.deduplicated(docs)
-    # A cut may fall inside a character: what is left of it goes.
-    whole = F.replace(F.expr("make_valid_utf8(CAST(repeat_kept AS STRING))"), F.lit("\ufffd"), F.lit(""))
-    text = F.when(F.size("repeat_spans") == 0, F.col("text")).otherwise(whole)
+    # A cut may fall inside a character: what is left of it goes, by moving the cut to the character's edge.
+    text = F.when(F.size("repeat_spans") == 0, F.col("text")).otherwise(F.expr(WHOLE))
     out = found.where("repeat_bytes = 0 OR octet_length(repeat_kept) > 0").withColumn("text", text)
     out = out.withColumn("n_chars", F.when(F.size("repeat_spans") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
     return out.select(*docs.columns)

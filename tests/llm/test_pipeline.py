@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline as pipeline
+from asterline.llm import repeats
 from asterline.session import stored
 from tests.llm.conftest import SF, words
 from tests.llm.test_duplicates import in_order, joined_by_brute_force, removed_by_brute_force
@@ -89,6 +91,26 @@ def test_near_duplicates_keep_unlinked_texts_of_null_or_equal_ids(spark, docs):
     assert sorted(r.doc_id for r in out if r.doc_id is not None) == [7, 7, 7, 8]
 
 
+def test_cuts_leave_whole_characters_and_genuine_replacement_characters(spark):
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdefgh é€𝄞\ufffd") for _ in range(400))
+    # The copies begin and end with characters that share their first or last bytes with what stood there before.
+    rows = [(1, "x\ufffdé" + base + "éy\ufffd"), (2, "p\ufffdq" + "\u20ad" + base + "\U0001d11f\ufffd z"), (3, "\ufffdè" + base + "è\ufffd"),
+            (4, "\ufffd" * 3), (5, None)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in run_stage(spark, "suffix-array dedup", frame).collect()}
+    spans = {r.doc_id: r.repeat_spans for r in repeats.deduplicated(frame).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and spans[2] and spans[3]
+    for i, t in rows:
+        at, expected = 0, ""
+        for c in t or "":
+            stop = at + len(c.encode())
+            expected += "" if any(a < stop and at < b for a, b in spans[i]) else c
+            at = stop
+        assert (got[i].text or "") == expected and (t is None or got[i].n_chars == len(expected))
+    assert got[2].text.count("\ufffd") == got[3].text.count("\ufffd") == 2
+
+
 def test_run_is_the_stages_in_turn(spark, docs):
     out = pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "decoded"} <= set(out.columns)
