@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import bpe, fingerprints, jaccard, mixing, packing, repeats, rules, scoring, sharding, warc
+from asterline.llm import bisectors, bpe, fingerprints, jaccard, mixing, packing, periodic, repeats, rules, scoring, sharding, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,40 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored between the model of good documents and that of all."""
     return scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32 of the id ends in 0, words from one on repeat a part of the text over and over."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    w, n = F.col("w"), F.size("w").cast("long")
+    words = F.when(F.pmod(crc, F.lit(10)) == 0, F.regexp_extract_all("text", F.lit(mixing.WORDS), F.lit(0)))
+    rows = docs.select("doc_id", "text", words.alias("w"), F.floor(crc / 10).alias("g"))
+    rows = rows.withColumn("a", F.when(n > 0, F.pmod("g", n)))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.pmod("g", F.lit(8)))))
+    copies = F.array_repeat(F.slice(w, (F.col("a") + 1).cast("int"), F.col("p").cast("int")), F.ceil((n - F.col("a")) / F.col("p")).cast("int"))
+    again = F.slice(F.flatten(copies), 1, (n - F.col("a")).cast("int"))
+    text = F.array_join(F.concat(F.slice(w, 1, F.col("a").cast("int")), again), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_grammar_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, after those of chosen ids were made to repeat, and what is left without the copies."""
+    rows = periodic.collapsed(_repeating(table(spark, sf_dir, "documents")))
+    none = "CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>)"
+    # Runs come by start and period, so that the first of equal exponents stays.
+    best = f"aggregate(runs, {none}, (b, r) -> CASE WHEN b IS NULL OR r.length * b.period > b.length * r.period THEN r ELSE b END)"
+    lines = r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr(best).alias("best"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.*", F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+             "runs_sha256", "collapsed_sha256")
+
+
+@register("op11_bisector_clusters")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    rows = bisectors.clustered(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                       F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
