@@ -162,7 +162,32 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
              "runs_sha256", "collapsed_sha256")
 
 
-@register("op11_bisector_clusters")
+def _rounds_sql(rounds: int = 10, k: int = 8, size: int = 64) -> str:
+    parts = [
+        f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})""",
+        f"""c0 AS MATERIALIZED (SELECT list(x ORDER BY h, x) AS cs
+        FROM (SELECT x, sha256('3:' || vec_id) AS h FROM v ORDER BY h, x LIMIT {k}))""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, x, list_min(d) AS distance, list_position(d, list_min(d)) - 1 AS cluster
+        FROM (SELECT vec_id, x, list_transform(cs, lambda c: list_sum(
+              list_transform(range(1, {size + 1}), lambda i: (x[i] - c[i]) * (x[i] - c[i])))) AS d FROM v, c{r}))""")
+    for r in range(rounds):
+        # The centroids of the next round: an exact floor of the mean, or the old ones where a cluster is empty.
+        parts.insert(2 + 3 * r + 1, f"""n{r} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) / n AS BIGINT) ORDER BY i) AS c
+        FROM (SELECT cluster, i, sum(x[i]) AS s, count(*) AS n
+              FROM (SELECT cluster, x, unnest(range(1, {size + 1})) AS i FROM a{r}) GROUP BY ALL) GROUP BY 1)""")
+        parts.insert(2 + 3 * r + 2, f"""c{r + 1} AS MATERIALIZED (SELECT list(coalesce(n.c, o.c) ORDER BY o.k) AS cs
+        FROM (SELECT unnest(range(0, len(cs))) AS k, unnest(cs) AS c FROM c{r}) o LEFT JOIN n{r} n ON n.cluster = o.k)""")
+    return "WITH " + ", ".join(parts) + f"""
+        SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+               CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(cs[cluster + 1], ',')) AS centroid_sha256
+        FROM a{rounds}, c{rounds}"""
+
+
+@register("op11_bisector_clusters", _rounds_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight clusters of all vectors after ten rounds."""
     rows = bisectors.clustered(table(spark, sf_dir, "embeddings"))
