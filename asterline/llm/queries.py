@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterline.llm import bisectors, bpe, fingerprints, jaccard, mixing, packing, periodic, repeats, rules, scoring, sharding, warc
+from asterline.llm import bisectors, bpe, fingerprints, jaccard, mixing, packing, periodic, repeats, rules, scoring, sharding, toxicity, warc
 from asterline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +193,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bisectors.clustered(table(spark, sf_dir, "embeddings"))
     return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+@register("op12_compression_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.scored(docs, toxicity.learned(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
