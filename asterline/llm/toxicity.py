@@ -7,7 +7,7 @@ distance, and a logistic curve with the labels' true shares turns the distance i
 
 How the dictionaries are trained:
 
-* Most words of a toxic text are ordinary. The toxic dictionary is trained on windows met in two or more toxic documents and
+* Most words of a toxic text are ordinary. The toxic dictionary is trained on windows whose beginning is met at MET places or more and
   CONTRAST times as often as in ordinary ones, and is small; the other is trained on all windows of ordinary documents.
 * Windows of ordinary documents that are still shorter with the toxic dictionary are added to the ordinary samples and that dictionary
   is trained anew, ROUNDS times.
@@ -27,6 +27,7 @@ only the id and the text are read, other columns do not matter whatever their na
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -39,7 +40,11 @@ FIT_BYTES = 1 << 15
 CALIBRATE = 4
 #: Bytes of the toxic and of the ordinary dictionary.
 SIZES = {1: 2_048, 0: 112_640}
+#: Places that a window of the toxic dictionary is met at, and how many times as often as in ordinary text.
+MET = 4
 CONTRAST = 8.0
+#: Bytes, with the space, in which words of one stem agree.
+BEGINNING = 6
 ROUNDS = 1
 WINDOW = 48
 #: Shorter words are no windows; a match takes as many bytes with the space before it.
@@ -126,6 +131,19 @@ def _difference(contents: dict[int, bytes]):
     return difference
 
 
+def rising(toxic, ordinary):
+    """Log-likelihood ratio of each difference, where neighbours that would fall are pooled: a greater difference is never less toxic."""
+    import numpy as np
+
+    pools: list[list[float]] = []
+    for a, b in zip(toxic / toxic.sum(), ordinary / ordinary.sum(), strict=True):
+        pools.append([a, b, 1])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [x + y for x, y in zip(pools[-1], last, strict=True)]
+    return np.repeat([math.log(a / b) for a, b, _ in pools], [int(n) for _, _, n in pools])
+
+
 def curve(distances, labels, weights) -> tuple[float, float]:
     """Slope and offset of a logistic curve by weighted Newton steps; labels a little inside 0 and 1, so that it stays finite."""
     import numpy as np
@@ -157,9 +175,12 @@ def fit(texts: dict[int, list[str]], totals: dict[int, int]) -> Model | None:
     train = {c: d if few else [w for i, w in enumerate(d) if i % CALIBRATE] for c, d in docs.items()}
     check = {c: d if few else d[::CALIBRATE] for c, d in docs.items()}
     samples = {c: [w for d in train[c] for w in sorted(set(d))] for c in (0, 1)}
-    met = {c: Counter(samples[c]) for c in (0, 1)}
-    share = CONTRAST * len(train[1]) / len(train[0])
-    chosen = [w for w in samples[1] if met[1][w] >= 2 and met[1][w] > share * (met[0][w] + 0.5)]
+    # Near copies of a text say nothing new: a window counts once between the same neighbours, words of one beginning together.
+    places = {c: {t for d in train[c] for t in zip([b"", *d], d, [*d[1:], b""], strict=False)} for c in (0, 1)}
+    met = {c: Counter(w[:BEGINNING] for _, w, _ in places[c]) for c in (0, 1)}
+    share = CONTRAST * sum(met[1].values()) / max(1, sum(met[0].values()))
+    chosen = sorted(w for _, w, _ in places[1] if met[1][w[:BEGINNING]] >= max(MET, share * (met[0][w[:BEGINNING]] + 0.5)))
+    random.Random(0).shuffle(chosen)
     contents = {1: trained(chosen, SIZES[1]), 0: trained(samples[0], SIZES[0])}
     hard: list[bytes] = []
     for _ in range(ROUNDS):
@@ -169,7 +190,7 @@ def fit(texts: dict[int, list[str]], totals: dict[int, int]) -> Model | None:
     difference = _difference(contents)
     found = {c: [np.array([difference(w) - LOW for w in d], np.int64) for d in check[c]] for c in (0, 1)}
     seen = {c: np.bincount(np.concatenate([*found[c], np.zeros(0, np.int64)]), minlength=HIGH - LOW + 1) + 0.5 for c in (0, 1)}
-    ratios = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
+    ratios = rising(seen[1], seen[0])
     distance = np.array([ratios[d].sum() / math.sqrt(max(1, len(d))) for c in (0, 1) for d in found[c]])
     labels = np.array([c for c in (0, 1) for _ in found[c]])
     weights = np.array([totals[c] / len(found[c]) for c in (0, 1) for _ in found[c]])
