@@ -4,117 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asterline.contracts import END, START
-from asterline.operators.timeline import SLICE, largest_group, slice_of, slice_width
+from asterline.operators.timeline import last_known
+from asterline.session import stored
 
-# Versions per key up to which a hash or merge join may test each of them.
-VERSIONS_PER_ROW = 64
 
-
-def interval_join(
-    left: DataFrame, versions: DataFrame, key: str, at: str, take: Sequence[str]
-) -> DataFrame:
-    """Equality on the key, validity as the residual.
-
-    Spark broadcasts the versions if they are below its own size threshold and
-    otherwise merges; a hot key on the left is split by the adaptive skew join.
-    """
-    v = versions.select(F.col(key).alias("_k"), START, END, *take)
-    valid = (
-        (left[key] == v["_k"])
-        & (left[at] >= v[START])
-        & (v[END].isNull() | (left[at] < v[END]))
-    )
-    return left.join(v, valid, "left").drop("_k", START, END)
-
-
-def merge_join(
-    left: DataFrame,
-    versions: DataFrame,
-    key: str,
-    at: str,
-    take: Sequence[str],
-    rows_per_task: int | None = None,
+def resolve(
+    probes: DataFrame, versions: DataFrame, key: str, at: str, take: Sequence[str], rows: int | None = None
 ) -> DataFrame:
-    """Sort both sides together and carry the last version forward.
+    """(_k, _at, the columns of take) for each distinct key and instant at which a version is true.
 
-    Linear in the rows however many versions a key has. Intervals of one key
-    must not overlap; gaps are respected. Hot keys are cut into time slices.
+    Instants and starts are read along each key's timeline together, in pieces, and the last version is carried forward:
+    linear in both, however many versions a key has. The version that starts last up to the instant counts, of equal
+    starts the one that ends last, then the greatest values; where it has ended, none is true, even if an earlier one were still open.
     """
-    rows = left.select(
-        F.col(key).alias("_k"),
-        F.col(at).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.struct(*left.columns).alias("_row"),
-        # Rows without a key match nothing; spread them instead of piling them up.
-        F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(4096)))
-        .otherwise(0)
-        .cast("long")
-        .alias("_salt"),
-    )
-    marks = versions.filter(F.col(key).isNotNull()).select(
+    asked = probes.select(F.col(key).alias("_k"), F.col(at).alias("_at")).where("_k IS NOT NULL AND _at IS NOT NULL")
+    # Written once: the search for long timelines and the scan itself read pairs, not the plan they come from.
+    asked = stored(asked.distinct(), "asof-probes")
+    marks = versions.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_k"),
         F.col(START).alias("_at"),
-        F.lit(0).alias("_kind"),
-        F.struct(F.col(END).alias("_until"), *take).alias("_version"),
-        F.lit(0).cast("long").alias("_salt"),
-    )
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    parts = ["_k", "_salt"]
-    width = slice_width(both, parts, "_at", rows_per_task)
-
-    if width is not None:
-        # Each slice starts with a marker that holds the last version before it.
-        both = both.withColumn(SLICE, slice_of(both, "_at", width))
-        cells = [*parts, SLICE]
-        before = (
-            Window.partitionBy(*parts).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        tails = both.groupBy(*cells).agg(
-            F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_tail")
-        )
-        markers = tails.select(
-            *cells, F.lit(-1).alias("_kind"), F.last("_tail", ignorenulls=True).over(before).alias("_version")
-        )
-        both, parts = both.unionByName(markers, allowMissingColumns=True), cells
-    frame = (
-        Window.partitionBy(*parts)
-        .orderBy(F.col("_kind") >= 0, "_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    filled = both.withColumn("_hit", F.last("_version", ignorenulls=True).over(frame)).filter("_kind = 1")
-    holds = F.col("_hit._until").isNull() | (F.col("_at") < F.col("_hit._until"))
-    return filled.select(
-        "_row.*", *[F.when(holds, F.col(f"_hit.{c}")).alias(c) for c in take]
+        F.struct(F.col(END).isNull().alias("_open"), F.col(END).alias("_until"), *take).alias("_version"),
     )
-
-
-def choose_strategy(versions: DataFrame, key: str) -> str:
-    """By the versions of the busiest key: few are tested one by one, many are merged.
-
-    Runs one count over the versions, so hand in a stored dimension rather than
-    a plan that would be computed twice.
-    """
-    return "interval" if largest_group(versions, [key]) <= VERSIONS_PER_ROW else "merge"
+    both = asked.withColumn("_asked", F.lit(True)).unionByName(marks.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
+    filled = last_known(both, ["_k"], "_at", "_version", "_hit", ties=["_asked", "_version"], rows=rows).where("_asked")
+    true = filled.where(F.col("_hit").isNotNull() & (F.col("_hit._open") | (F.col("_at") < F.col("_hit._until"))))
+    return true.select("_k", "_at", *[F.col(f"_hit.{c}").alias(c) for c in take])
 
 
 def asof_join(
-    left: DataFrame,
-    versions: DataFrame,
-    key: str,
-    at: str,
-    take: Sequence[str],
-    strategy: str = "auto",
+    left: DataFrame, versions: DataFrame, key: str, at: str, take: Sequence[str], rows: int | None = None
 ) -> DataFrame:
     """Left as-of join; every left row comes out exactly once.
 
-    Up to VERSIONS_PER_ROW the residual is cheap and the left side may not even
-    be shuffled; beyond it the work would grow with rows times versions.
+    Only distinct (key, instant) pairs travel to the versions, so a busy instant is one row there; what they resolve to comes
+    back by equality, a join whose hot pairs the adaptive planner splits.
     """
-    if strategy == "auto":
-        strategy = choose_strategy(versions, key)
-    join = interval_join if strategy == "interval" else merge_join
-    return join(left, versions, key, at, take)
+    known = resolve(left, versions, key, at, take, rows)
+    return left.join(known, (left[key] == known["_k"]) & (left[at] == known["_at"]), "left").select(*[left[c] for c in left.columns], *[known[c] for c in take])

@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asterline.contracts import END, SEQUENCE, START
-from asterline.operators.timeline import (
-    attach,
-    fits_one_task,
-    slice_width,
-    with_neighbour,
-)
+from asterline.operators.timeline import attach, with_neighbour
 
 
 def _values(df: DataFrame, keys: Sequence[str], sequence: str, prefer: Sequence[str]) -> list[str]:
@@ -50,7 +45,7 @@ def versions(
     changes: DataFrame,
     keys: Sequence[str],
     sequence: str = SEQUENCE,
-    rows_per_task: int | None = None,
+    rows_per_piece: int | None = None,
     unique: bool = False,
     prefer: Sequence[str] = (),
 ) -> DataFrame:
@@ -58,21 +53,11 @@ def versions(
 
     `unique` says the feed already holds one row per (key, sequence), e.g.
     because it comes out of an aggregate on exactly these columns. Otherwise the
-    row with the greatest values wins; `prefer` names columns to compare first,
+    row with the greatest values wins, on the map side first; `prefer` names columns to compare first,
     such as the number of the message, which are not part of the version.
     """
-    if fits_one_task(changes, keys, rows_per_task):
-        width, feed = None, changes
-    else:
-        feed = changes if unique else collapse(changes, keys, sequence, prefer)
-        width, unique = slice_width(feed, keys, sequence, rows_per_task), True
-
-    # In the plain plan duplicates are dropped inside the same window: ties are
-    # sorted by value and a row followed by its own sequence is not the last.
-    ties = [] if unique else _values(feed, keys, sequence, prefer)
-    following = with_neighbour(feed, keys, sequence, sequence, END, ties=ties, width=width)
-    if not unique:
-        following = following.filter(F.col(END).isNull() | (F.col(END) > F.col(sequence)))
+    feed = changes if unique else collapse(changes, keys, sequence, prefer)
+    following = with_neighbour(feed, keys, sequence, sequence, END, rows=rows_per_piece)
     kept = [c for c in changes.columns if c not in prefer]
     return following.select(*kept, F.col(sequence).alias(START), END)
 

@@ -1,12 +1,13 @@
-"""Neighbours and positions along a key's timeline, safe for hot keys.
-
-A window over (key ORDER BY sequence) sends a whole key to one task. That is
-the right plan until one key holds a large share of the rows. Here the plan is
-chosen from a measurement: while every key fits one task it is the plain
-window; otherwise the timeline is cut into slices of equal width and the window
-runs inside each (key, slice). What lies across a cut is computed on one row per
-slice and put back among the rows as a marker at the slice's edge, so the rows
-themselves are shuffled once in either plan and both give the same result.
+"""Neighbours and positions along a key's timeline, in one plan at every size.
+
+A window over (key ORDER BY sequence) would send a whole key to one task. So every timeline is read in pieces: a key with more
+rows than a piece should hold is cut at quantiles of its own sequence, taken from a mergeable sketch over all its rows, and every
+other key is one piece. Windows run over (key, piece), and what lies across a cut is carried by one row for each piece
+of such a key, put among the rows at the piece's edge. One job before finds the cut points; without any the
+planner drops the branches that carry, and the window is the plain one.
+
+Cut points follow ranks, not widths, so a burst inside a long timeline is cut as finely as the rest. Rows of one (key, sequence) are
+never parted; collapse copies before.
 """
 
 from __future__ import annotations
@@ -18,22 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# What one task may sort: rows of one key, and input bytes below which no
-# measurement is worth a job because the whole input would fit one task.
-ROWS_PER_TASK = 5_000_000
-BYTES_PER_TASK = 256 << 20
-
-_DAY = 86_400_000_000
-_TIME_WIDTHS = (30 * _DAY, _DAY, _DAY // 24, _DAY // 1440, 1_000_000, 1_000, 1)
-_NUMBER_WIDTHS = tuple(1 << shift for shift in range(40, -1, -4))
-
-SLICE, _KIND = "_slice", "_kind"
+#: Rows that one task may well sort.
+ROWS_PER_PIECE = 2_000_000
+#: Pieces of all cut keys together: beyond ROWS_PER_PIECE times this, pieces grow instead. Keys are cut if they have more rows than a
+#: piece, so this bounds both the keys and the cut points that the driver collects and broadcasts, to about a megabyte, however many rows there are.
+MOST_PIECES = 1 << 16
+#: Pieces of one key, and size of its sketch: ranks are right to about 0.0005.
+CUTS = 1 << 10
+SKETCH = 1 << 12
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables a plan reads, from Catalyst's statistics; runs nothing."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+PIECE, _KIND, _HASH, _POINTS = "_piece", "_kind", "_cut_key", "_cut_points"
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
@@ -50,41 +45,42 @@ def ordinal(df: DataFrame, column: str) -> Column:
     raise TypeError(f"{column}: {kind.simpleString()} is no sequence type")
 
 
-def _widths(df: DataFrame, column: str) -> tuple[int, ...]:
-    timed = isinstance(df.schema[column].dataType, (T.TimestampNTZType, T.TimestampType))
-    return _TIME_WIDTHS if timed else _NUMBER_WIDTHS
-
-
-def slice_of(df: DataFrame, sequence: str, width: int) -> Column:
-    return F.floor(ordinal(df, sequence) / F.lit(width))
-
+def cut_points(df: DataFrame, keys: Sequence[str], sequence: str, rows: int | None = None) -> DataFrame | None:
+    """(hash of the key, ascending cut points) of the keys with more rows than a piece holds; at most MOST_PIECES points.
 
-def largest_group(df: DataFrame, by: Sequence[str | Column]) -> int:
-    """Rows of the largest group: map-side counted, one number returned."""
-    worst = df.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return worst or 0
-
-
-def fits_one_task(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> bool:
-    """Whether every key's rows fit one task; measured only if the input is large."""
-    limit = ROWS_PER_TASK if rows is None else rows
-    if rows is None and input_bytes(df) <= BYTES_PER_TASK:
-        return True
-    return largest_group(df, keys) <= limit
+    One job over the keys, combined before the shuffle, finds how many rows there are and the most of any key. None: every
+    timeline is one piece, and nothing needs to be carried. Else only the rows of long timelines are sketched. Keys are told by a
+    hash: two that share one are cut at the same points, which changes no result.
+    """
+    places = df.select(F.xxhash64(*keys).alias(_HASH), ordinal(df, sequence).alias("_at"))
+    counts = places.groupBy(_HASH).agg(F.count("*").alias("_n"))
+    seen = counts.agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    size = max(ROWS_PER_PIECE if rows is None else rows, -(-(seen.rows or 0) // MOST_PIECES))
+    if (seen.most or 0) <= size:
+        return None
+    heavy = counts.where(F.col("_n") > size).select(
+        _HASH, F.least(F.lit(CUTS), F.ceil(F.col("_n") / size)).cast("int").alias("_pieces")
+    )
+    sketches = places.join(F.broadcast(heavy), _HASH).groupBy(_HASH, "_pieces").agg(
+        F.kll_sketch_agg_bigint("_at", F.lit(SKETCH)).alias("_sketch")
+    )
+    ranks = ", ".join(f"{i / CUTS}D" for i in range(CUTS))
+    marks = sketches.selectExpr(_HASH, "_pieces", f"kll_sketch_get_quantile_bigint(_sketch, array({ranks})) AS _marks")
+    points = f"array_distinct(transform(sequence(1, _pieces - 1), i -> _marks[CAST(i * {CUTS} DIV _pieces AS INT)])) AS {_POINTS}"
+    return df.sparkSession.createDataFrame(marks.selectExpr(_HASH, points).collect(), f"{_HASH} long, {_POINTS} array<long>")
 
 
-def slice_width(
-    df: DataFrame, keys: Sequence[str], sequence: str, rows: int | None = None
-) -> int | None:
-    """The coarsest slice in which every (key, slice) fits one task; None: no slicing."""
-    if fits_one_task(df, keys, rows):
-        return None
-    limit = ROWS_PER_TASK if rows is None else rows
-    widths = _widths(df, sequence)
-    for width in widths:
-        if largest_group(df, [*keys, slice_of(df, sequence, width).alias(SLICE)]) <= limit:
-            return width
-    return widths[-1]
+def in_pieces(df: DataFrame, keys: Sequence[str], sequence: str, points: DataFrame | None, cut_only: bool = False) -> DataFrame:
+    """df with the number of its key's cut points at or before each row; with `cut_only` just the rows of keys that are cut."""
+    if points is None:
+        return df.withColumn(PIECE, F.lit(0)).where(F.lit(not cut_only))
+    steps = ", ".join(str(CUTS >> i) for i in range(CUTS.bit_length()))
+    # A binary search: the largest steps first, as long as the point they lead to is not beyond the row.
+    found = f"""CASE WHEN {_POINTS} IS NULL THEN 0 ELSE aggregate(array({steps}), 0, (n, step) ->
+        CASE WHEN n + step <= size({_POINTS}) AND get({_POINTS}, n + step - 1) <= _row_at THEN n + step ELSE n END) END AS {PIECE}"""
+    keyed = df.select("*", F.xxhash64(*keys).alias("_row_key"), ordinal(df, sequence).alias("_row_at"))
+    joined = keyed.join(F.broadcast(points), F.col("_row_key") == F.col(_HASH), "inner" if cut_only else "left")
+    return joined.select(*df.columns, F.expr(found))
 
 
 def attach(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
@@ -109,79 +105,77 @@ def with_neighbour(
     name: str,
     step: str = "next",
     ties: Sequence[str] = (),
-    width: int | None | str = "auto",
+    rows: int | None = None,
 ) -> DataFrame:
-    """Add `value` of the next or previous row of the same key."""
-    shift = F.lead if step == "next" else F.lag
-    itself = value == sequence if isinstance(value, str) else False
-    value = F.col(value) if isinstance(value, str) else value
-    if width == "auto":
-        width = slice_width(df, keys, sequence)
+    """Add `value` of the next or previous row of the same key; `rows` is what a piece may hold."""
+    following = step == "next"
+    shift = F.lead if following else F.lag
     order = [sequence, *ties]
-    if width is None:
-        return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
-
     # The value is wrapped, so that "no neighbour" differs from "neighbour is null".
-    following = step == "next"
-    sliced = df.select(
-        "*",
-        slice_of(df, sequence, width).alias(SLICE),
-        F.lit(0).alias(_KIND),
-        F.struct(value.alias("v")).alias("_v"),
-    )
-    parts = [*keys, SLICE]
-    if itself:
-        # A plain minimum or maximum aggregates by hash, without a sort.
-        edge = F.struct((F.min if following else F.max)(sequence).alias("v"))
-    else:
-        edge = (F.min_by if following else F.max_by)("_v", F.struct(*order))
-    edges = sliced.groupBy(*parts).agg(edge.alias("_edge"))
+    valued = df.select("*", F.struct((F.col(value) if isinstance(value, str) else value).alias("v")).alias("_v"))
+    points = cut_points(df, keys, sequence, rows)
+    parts = [*keys, PIECE]
+    edge = (F.min_by if following else F.max_by)("_v", F.struct(*order))
+    edges = in_pieces(valued, keys, sequence, points, cut_only=True).groupBy(*parts).agg(edge.alias("_edge"))
     markers = edges.select(
         *parts,
         F.lit(1 if following else -1).alias(_KIND),
-        shift("_edge").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_v"),
+        shift("_edge").over(Window.partitionBy(*keys).orderBy(PIECE)).alias("_v"),
     )
     inside = Window.partitionBy(*parts).orderBy(_KIND, *order)
     return (
-        sliced.unionByName(markers, allowMissingColumns=True)
+        in_pieces(valued, keys, sequence, points)
+        .withColumn(_KIND, F.lit(0))
+        .unionByName(markers, allowMissingColumns=True)
         .withColumn("_found", shift("_v").over(inside))
         .filter(F.col(_KIND) == 0)
         .select(*df.columns, F.col("_found.v").alias(name))
     )
 
 
-def with_position(
-    df: DataFrame,
-    keys: Sequence[str],
-    sequence: str,
-    name: str,
-    width: int | None | str = "auto",
-) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], sequence: str, name: str, rows: int | None = None) -> DataFrame:
     """Add the row's position within its key, from zero."""
-    if width == "auto":
-        width = slice_width(df, keys, sequence)
-    if width is None:
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(sequence))
-        return df.withColumn(name, number.cast("long") - 1)
-    sliced = df.select("*", slice_of(df, sequence, width).alias(SLICE), F.lit(0).alias(_KIND))
-    parts = [*keys, SLICE]
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    points = cut_points(df, keys, sequence, rows)
+    parts = [*keys, PIECE]
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     markers = (
-        sliced.groupBy(*parts)
+        in_pieces(df, keys, sequence, points, cut_only=True)
+        .groupBy(*parts)
         .count()
-        .select(
-            *parts,
-            F.lit(-1).alias(_KIND),
-            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"),
-        )
+        .select(*parts, F.lit(-1).alias(_KIND), (F.coalesce(F.sum("count").over(before), F.lit(0)) - 1).alias("_offset"))
     )
     inside = Window.partitionBy(*parts).orderBy(_KIND, sequence)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The marker comes first: it is row 1, and the first row of the slice row 2.
-    place = F.row_number().over(inside) - 2 + F.max("_offset").over(running)
+    # Where there is a marker it comes first and is row 1 itself.
+    place = F.row_number().over(inside) - 1 + F.coalesce(F.max("_offset").over(running), F.lit(0))
     return (
-        sliced.unionByName(markers, allowMissingColumns=True)
+        in_pieces(df, keys, sequence, points)
+        .withColumn(_KIND, F.lit(0))
+        .unionByName(markers, allowMissingColumns=True)
         .withColumn(name, place.cast("long"))
         .filter(F.col(_KIND) == 0)
         .select(*df.columns, name)
     )
+
+
+def last_known(
+    df: DataFrame, keys: Sequence[str], sequence: str, value: str, name: str, ties: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
+    """Add the last `value` that is not null up to each row of the same key, the row's own included."""
+    points = cut_points(df, keys, sequence, rows)
+    parts, order = [*keys, PIECE], [sequence, *ties]
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    known = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+    tails = in_pieces(df, keys, sequence, points, cut_only=True).groupBy(*parts).agg(known.alias("_tail"))
+    markers = tails.select(*parts, F.lit(-1).alias(_KIND), F.last("_tail", ignorenulls=True).over(before).alias(value))
+    frame = (
+        Window.partitionBy(*parts).orderBy(_KIND, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        in_pieces(df, keys, sequence, points)
+        .withColumn(_KIND, F.lit(0))
+        .unionByName(markers, allowMissingColumns=True)
+        .withColumn(name, F.last(value, ignorenulls=True).over(frame))
+        .filter(F.col(_KIND) == 0)
+        .select(*df.columns, name)
+    )

@@ -204,11 +204,31 @@ def join_asof_merge(spark: SparkSession, sf: str) -> DataFrame:
     feed = M.user_feed(spark, sf).filter("state <> 'view'")
     versions = scd2.versions(feed, ["user_id"]).withColumn("state_since", F.col(START))
     events = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return asof.merge_join(events, versions, "user_id", "ts", ["state_since", "state"]).select(
+    return asof.asof_join(events, versions, "user_id", "ts", ["state_since", "state"]).select(
         "event_id", "user_id", "state_since", "state"
     )
 
 
+#: Rows of a piece in the queries of hot keys: small, so that the given tables have timelines of many pieces.
+HOT_PIECE = 1_000
+
+
+@query(
+    "asof_hot_instant",
+    """WITH f AS (SELECT l_returnflag, l_commitdate AS updated_at, max(l_extendedprice) AS top FROM lineitem GROUP BY ALL),
+       v AS (SELECT *, lead(updated_at) OVER (PARTITION BY l_returnflag ORDER BY updated_at) AS until FROM f)
+       SELECT l_orderkey, l_linenumber, l.l_returnflag, l_shipdate, v.top FROM lineitem l
+       LEFT JOIN v ON v.l_returnflag = l.l_returnflag AND l_shipdate >= v.updated_at AND (v.until IS NULL OR l_shipdate < v.until)""",
+)
+def asof_hot_instant(spark: SparkSession, sf: str) -> DataFrame:
+    """Three keys hold all lines, and every (key, day) many: the dearest line committed last when a line was shipped."""
+    lines = table(spark, sf, "lineitem")
+    feed = lines.groupBy("l_returnflag", F.col("l_commitdate").alias(SEQUENCE)).agg(F.max("l_extendedprice").alias("top"))
+    versions = stored(scd2.versions(feed, ["l_returnflag"], unique=True, rows_per_piece=HOT_PIECE), "hot-instant")
+    left = lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    return asof.asof_join(left, versions, "l_returnflag", "l_shipdate", ["top"], rows=HOT_PIECE)
+
+
 @query(
     "anti_dangling_lines",
     """SELECT order_id, line_number, product_id FROM m_order_line l WHERE NOT EXISTS (
@@ -359,6 +379,18 @@ def scd2_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     return scd2.versions(shuffled, ["user_id"])
 
 
+@query(
+    "scd2_hot_key",
+    """SELECT event_type, ts AS updated_at, max(event_id) AS event_id, arg_max(value, event_id) AS value, ts AS "__START_AT",
+              lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS "__END_AT"
+       FROM events GROUP BY event_type, ts""",
+)
+def scd2_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """A few keys with all the rows: their timelines are cut, their versions are those of one window."""
+    feed = table(spark, sf, "events").select("event_type", F.col("ts").alias(SEQUENCE), "event_id", "value")
+    return scd2.versions(feed, ["event_type"], rows_per_piece=HOT_PIECE)
+
+
 @query("scd2_late_arrival", USER_VERSIONS)
 def scd2_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
     """Every fifth change arrives after all others and splits the interval it falls in."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from asterline.contracts import END, SEQUENCE, START
 from asterline.operators import asof, scd2
 from asterline.operators.surrogate import assign_keys
-from asterline.operators.timeline import slice_width, with_neighbour, with_position
+from asterline.operators.timeline import PIECE, cut_points, in_pieces, last_known, with_neighbour, with_position
 from asterline.plans import star as S
 from asterline.sources import sinks
 
@@ -135,7 +135,7 @@ def test_arrival_batches_and_slices_do_not_matter(spark, changes, seed_, limit):
     arrival = changes + random.Random(seed_).choices(changes, k=3)
     random.Random(seed_).shuffle(arrival)
     assert got(scd2.versions(frame(spark, arrival), ["k"])) == want
-    assert got(scd2.versions(frame(spark, arrival), ["k"], rows_per_task=limit)) == want
+    assert got(scd2.versions(frame(spark, arrival), ["k"], rows_per_piece=limit)) == want
     # Any split into two batches with a dedupe between them gives the same log.
     cut = seed_ % len(arrival)
     first = scd2.collapse(frame(spark, changes), ["k"])
@@ -148,29 +148,51 @@ def test_hot_key_is_sliced(spark):
     """One key with most rows: the plan changes, the rows do not."""
     hot = [(1, n, n % 7) for n in range(3000)] + [(k, 5, 1) for k in range(2, 50)]
     df = frame(spark, hot)
-    assert slice_width(df, ["k"], SEQUENCE, rows=100) is not None
-    assert slice_width(df, ["k"], SEQUENCE, rows=5000) is None
-    assert got(scd2.versions(df, ["k"], rows_per_task=100)) == expected_versions(hot)
+    assert cut_points(df, ["k"], SEQUENCE, rows=100).count() == 1
+    assert cut_points(df, ["k"], SEQUENCE, rows=5000) is None
+    assert got(scd2.versions(df, ["k"], rows_per_piece=100)) == expected_versions(hot)
+
+
+def test_a_burst_in_a_long_timeline_is_cut_evenly(spark):
+    """Nine tenths of a key's rows within an hour of ten years: no piece has far more than its share."""
+    rows = [(1, n * 40_000_000) for n in range(2_000)] + [(1, 39_000_000_000 + n) for n in range(18_000)] + [(k, 5) for k in range(2, 90)]
+    df = spark.createDataFrame(rows, f"k long, {SEQUENCE} long")
+    pieces = in_pieces(df, ["k"], SEQUENCE, cut_points(df, ["k"], SEQUENCE, rows=500)).groupBy("k", PIECE).count().collect()
+    hot = [r["count"] for r in pieces if r.k == 1]
+    assert len(hot) == 40 and max(hot) < 600 and sum(hot) == 20_000
+    assert all(r[PIECE] == 0 and r["count"] == 1 for r in pieces if r.k != 1)
+
+
+@pytest.mark.parametrize("rows", [None, 7, 1])
+def test_last_known_value(spark, rows):
+    """Carried over cuts, over gaps longer than a piece, and never to another key."""
+    made = [(k, n, None if n % 17 else n) for k in (1, None) for n in range(-40, 120, 3)]
+    df = spark.createDataFrame(made, "k long, n long, v long")
+    want, last = {}, {}
+    for k, n, v in sorted(made, key=lambda r: (r[0] or 0, r[1])):
+        last[k] = v if v is not None else last.get(k)
+        want[k, n] = last[k]
+    assert {(r.k, r.n): r.w for r in last_known(df, ["k"], "n", "v", "w", rows=rows).collect()} == want
 
 
 def test_copies_of_one_change_collapse(spark):
     copies = frame(spark, [(1, 7, 3)] * 500 + [(1, 9, 1)])
-    rows = got(scd2.versions(copies, ["k"], rows_per_task=10))
+    rows = got(scd2.versions(copies, ["k"], rows_per_piece=10))
     assert rows == [(1, moment(7), 3, moment(9)), (1, moment(9), 1, None)]
 
 
-@pytest.mark.parametrize("width", [None, 3_600_000_000 * 10, 3_600_000_000])
-def test_neighbours_and_positions(spark, width):
+@pytest.mark.parametrize("pieces", [None, 10, 1])
+def test_neighbours_and_positions(spark, pieces):
     rows = [(k, n, None if n % 4 == 0 else n) for k in (1, 2) for n in range(0, 90, 3 * k)]
     df = frame(spark, rows)
     for step, move in (("next", 1), ("previous", -1)):
-        out = with_neighbour(df, ["k"], SEQUENCE, F.col("v"), "other", step, width=width).collect()
+        out = with_neighbour(df, ["k"], SEQUENCE, F.col("v"), "other", step, rows=pieces).collect()
         for k in (1, 2):
             mine = sorted((r for r in out if r.k == k), key=lambda r: r[SEQUENCE])
             for i, r in enumerate(mine):
                 j = i + move
                 assert r.other == (mine[j].v if 0 <= j < len(mine) else None)
-    placed = with_position(df, ["k"], SEQUENCE, "p", width=width).orderBy("k", SEQUENCE).collect()
+    placed = with_position(df, ["k"], SEQUENCE, "p", rows=pieces).orderBy("k", SEQUENCE).collect()
     assert [r.p for r in placed if r.k == 1] == list(range(30))
 
 
@@ -195,8 +217,8 @@ def test_keys_are_unique_stable_and_continue(spark):
 
 
 @pytest.mark.parametrize("limit", [None, 5, 50])
-def test_asof_strategies_agree(spark, limit):
-    """Interval and merge join against brute force: gaps, misses, null keys, ties."""
+def test_asof_join(spark, limit):
+    """Against brute force: gaps, misses, null keys, ties."""
     random.seed(4)
     versions = []
     for k in (1, 2, 3):
@@ -216,19 +238,24 @@ def test_asof_strategies_agree(spark, limit):
         return tags[0] if tags else None
 
     want = {i: true_tag(k, at) for i, k, at in rows}
-    interval = asof.interval_join(left, v, "k", "at", ["tag"])
-    merge = asof.merge_join(left, v, "k", "at", ["tag"], rows_per_task=limit)
-    for df in (interval, merge, asof.asof_join(left, v, "k", "at", ["tag"])):
-        out = df.collect()
-        assert df.columns == ["id", "k", "at", "tag"]
-        assert len(out) == len(rows) and {r.id: r.tag for r in out} == want
-
-
-def test_strategy_follows_the_busiest_key(spark):
-    few = frame(spark, [(k, n, 0) for k in range(9) for n in range(3)])
-    many = frame(spark, [(1, n, 0) for n in range(100)])
-    assert asof.choose_strategy(few, "k") == "interval"
-    assert asof.choose_strategy(many, "k") == "merge"
+    out = asof.asof_join(left, v, "k", "at", ["tag"], rows=limit)
+    assert out.columns == ["id", "k", "at", "tag"]
+    got_ = out.collect()
+    assert len(got_) == len(rows) and {r.id: r.tag for r in got_} == want
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_overlapping_versions_have_one_answer(spark, limit):
+    """The version that starts last decides, also when it has ended before an earlier one."""
+    made = [(1, 0, None, 1), (1, 10, 20, 2), (1, 10, 30, 3), (1, 40, 41, 4), (1, 50, None, 5), (1, 50, 60, 6)]
+    v = spark.createDataFrame(
+        [(k, moment(s), None if e is None else moment(e), t) for k, s, e, t in made],
+        f"k long, {START} timestamp_ntz, {END} timestamp_ntz, tag long",
+    )
+    asked = {-1: None, 0: 1, 9: 1, 10: 3, 25: 3, 30: None, 40: 4, 45: None, 55: 5, 99: 5}
+    left = spark.createDataFrame([(1, moment(n)) for n in asked for _ in range(3)], "k long, at timestamp_ntz")
+    rows = asof.asof_join(left, v, "k", "at", ["tag"], rows=limit).collect()
+    assert len(rows) == 3 * len(asked) and {r["at"]: r.tag for r in rows} == {moment(n): t for n, t in asked.items()}
 
 
 def test_change_detection(spark):
@@ -246,7 +273,7 @@ def test_change_detection(spark):
 def test_preferred_column_decides_and_is_dropped(spark, limit):
     rows = [(1, moment(0), 1, 9), (1, moment(0), 2, 3), (1, moment(5), 1, 1)]
     df = spark.createDataFrame(rows, f"k long, {SEQUENCE} timestamp_ntz, message long, v long")
-    out = scd2.versions(df, ["k"], prefer=["message"], rows_per_task=limit)
+    out = scd2.versions(df, ["k"], prefer=["message"], rows_per_piece=limit)
     assert "message" not in out.columns
     assert [(r.v, r[END]) for r in out.orderBy(START).collect()] == [(3, moment(5)), (1, None)]
 
