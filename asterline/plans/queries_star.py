@@ -215,15 +215,17 @@ HOT_PIECE = 1_000
 
 @query(
     "asof_hot_instant",
-    """WITH f AS (SELECT l_returnflag, l_commitdate AS updated_at, max(l_extendedprice) AS top FROM lineitem GROUP BY ALL),
+    """WITH f AS (SELECT l_returnflag, l_shipdate AS updated_at, max(l_extendedprice) AS top FROM lineitem
+                  WHERE l_quantity >= 45 GROUP BY ALL),
        v AS (SELECT *, lead(updated_at) OVER (PARTITION BY l_returnflag ORDER BY updated_at) AS until FROM f)
        SELECT l_orderkey, l_linenumber, l.l_returnflag, l_shipdate, v.top FROM lineitem l
        LEFT JOIN v ON v.l_returnflag = l.l_returnflag AND l_shipdate >= v.updated_at AND (v.until IS NULL OR l_shipdate < v.until)""",
 )
 def asof_hot_instant(spark: SparkSession, sf: str) -> DataFrame:
-    """Three keys hold all lines, and every (key, day) many: the dearest line committed last when a line was shipped."""
+    """Three keys hold all lines, and every (key, day) many: the dearest bulk line of the last day up to a line's own."""
     lines = table(spark, sf, "lineitem")
-    feed = lines.groupBy("l_returnflag", F.col("l_commitdate").alias(SEQUENCE)).agg(F.max("l_extendedprice").alias("top"))
+    bulk = lines.where("l_quantity >= 45")
+    feed = bulk.groupBy("l_returnflag", F.col("l_shipdate").alias(SEQUENCE)).agg(F.max("l_extendedprice").alias("top"))
     versions = stored(scd2.versions(feed, ["l_returnflag"], unique=True, rows_per_piece=HOT_PIECE), "hot-instant")
     left = lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
     return asof.asof_join(left, versions, "l_returnflag", "l_shipdate", ["top"], rows=HOT_PIECE)
