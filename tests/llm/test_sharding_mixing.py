@@ -90,8 +90,10 @@ def test_fit_is_the_best_that_lengths_allow(pairs, budget):
     assert all(0 <= t <= c for t, c in zip(taken, counts))
     total = int(np.dot(lengths, taken))
     assert total <= max(budget, 0)
-    everything = int(np.dot(lengths, counts))
-    assert budget - total <= max(lengths) or total == everything
+    sums = {0}
+    for length, count in pairs:
+        sums = {a + n * length for a in sums for n in range(count + 1) if a + n * length <= budget} if budget > 0 else {0}
+    assert total == max(sums)
 
 
 def expected_targets(sizes, weights, share=1.5, most=2.0):
@@ -153,6 +155,17 @@ def test_mix_of_odd_rows(odd, empty):
     out = mixing.taken(odd)
     assert out.columns == odd.columns and out.count() > 0
     assert mixing.taken(empty).collect() == []
+    clash = odd.withColumnRenamed("size", "mix_id").withColumnRenamed("slot", "mix_row").withColumnRenamed("kept", "cut_hash")
+    assert sorted(map(str, mixing.taken(clash).collect())) == sorted(map(str, out.toDF(*clash.columns).collect()))
+
+
+def test_rows_equal_in_id_and_text_are_told_by_number(spark):
+    rows = [(1, "a b c d e", "s")] * 6 + [(i, "a b c d e", "s") for i in range(2, 5)] + [(9, "x " * 40, "t")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mixed(frame, share=0.7, most=1.0).collect()
+    by = Counter((r.doc_id, r.taken) for r in got)
+    assert sum(by.values()) == 10 and sum(r.taken for r in got if r.size == 5) == 5 * (int(next(r.target for r in got if r.size == 5)) // 5)
+    assert sum(1 for _ in mixing.taken(frame, share=0.7, most=1.0).collect()) == sum(r.taken > 0 for r in got)
 
 
 def test_registered_queries(spark):
