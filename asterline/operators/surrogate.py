@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterline.operators.timeline import ordinal
+from asterline.operators.timeline import attach, ordinal
 
 # Far more buckets than tasks, so buckets stay small however large the table is.
 BUCKETS = 1 << 16
@@ -43,8 +43,8 @@ def assign_keys(
     if stored is not None:
         had = stored.select(*keys, sequence, name)
         greatest = had.agg(F.max(name)).first()[0] or 0
-        known = versions.join(had, [*keys, sequence])
-        fresh = versions.join(had, [*keys, sequence], "left_anti")
+        known = attach(versions, had, [*keys, sequence], "inner")
+        fresh = attach(versions, had, [*keys, sequence], "left_anti")
         numbered = assign_keys(fresh, keys, sequence, name, max(after, greatest), most)
         return known.select(name, *versions.columns).unionByName(numbered)
     bucketed = versions.withColumn("_bucket", bucket_of(versions, keys, sequence))

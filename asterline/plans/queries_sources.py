@@ -338,6 +338,50 @@ def stream_fact(spark: SparkSession, sf: str) -> DataFrame:
     return flow.fact()
 
 
+@query("stream_fact_late_orders", f"SELECT {FACT} FROM m_fact")
+def stream_fact_late_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines arrive first, their orders in two later loads: no line is lost, each is resolved when its order is there."""
+    s, home = star(spark, sf), scratch(spark, "late")
+    orders = M.order(spark, sf).select("order_id", "customer_id", "ordered_at")
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    orders.filter("false").write.parquet(f"{home}/orders")
+    arriving = spark.readStream.schema(orders.schema).parquet(f"{home}/orders")
+    flow = flows.FactFlow(spark, f"{home}/fact", orders.filter("false"), s.dim_product, s.dim_customer)
+    lines = M.lines_of(_stream(spark, sf, "lineitem"))
+    for part in (None, 0, 1):
+        if part is not None:
+            orders.filter(half == part).write.mode("append").parquet(f"{home}/orders")
+        flow.run(lines, arriving)
+    return flow.fact()
+
+
+PRICE_RULES = (
+    Rule("product_id_present", "product_id IS NOT NULL"),
+    Rule("price_bounded", "list_price < 1800"),
+    Rule("before_1998", "updated_at < TIMESTAMP_NTZ'1998-01-01 00:00:00'"),
+)
+_BROKEN = "list_price >= 1800 OR updated_at >= TIMESTAMP '1998-01-01 00:00:00'"
+
+
+@query(
+    "flow_rule_counts",
+    f"""WITH c AS (SELECT l_extendedprice / l_quantity AS list_price, l_shipdate AS updated_at FROM lineitem)
+        SELECT 'product_id_present' AS rule_id, count(*) AS n_rows, 0 AS failures,
+               count(*) FILTER (WHERE {_BROKEN}) AS quarantined FROM c
+        UNION ALL SELECT 'price_bounded', count(*), count(*) FILTER (WHERE list_price >= 1800), count(*) FILTER (WHERE {_BROKEN}) FROM c
+        UNION ALL SELECT 'before_1998', count(*), count(*) FILTER (WHERE updated_at >= TIMESTAMP '1998-01-01 00:00:00'),
+               count(*) FILTER (WHERE {_BROKEN}) FROM c""",
+)
+def flow_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a dimension's flow dropped at its boundary, and why, over all its batches."""
+    changes = M.price_changes(_stream(spark, sf, "lineitem"))
+    flow = flows.DimensionFlow(
+        spark, scratch(spark, "bounded"), ["product_id"], "product_key", changes.schema, PRICE_RULES
+    )
+    flow.run(changes)
+    return flows.rule_counts(spark, flow.target)
+
+
 EVENT_RULES = (
     Rule("no_error", "event_type <> 'error'"),
     Rule("value_counts", "value >= 10"),

@@ -15,7 +15,7 @@ from asterline.plans import model as M
 from asterline.plans import star as S
 from asterline.plans.catalog import query
 from asterline.plans.warehouse import dimensions, joined, star
-from asterline.session import stored, table
+from asterline.session import scratch, stored, table
 
 PRODUCT_VERSION = 'product_id, product_name, category_name, list_price, updated_at, "__START_AT", "__END_AT"'
 
@@ -462,6 +462,40 @@ def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+REBUILD_FROM = "1996-01-01 00:00:00"
+
+
+@query(
+    "star_rebuild",
+    f"""SELECT f.product_id, f.updated_at AS "__START_AT", true AS kept_key, count(l.line_number) AS old_lines
+        FROM m_dim_product f LEFT JOIN (
+             SELECT l.line_number, v.product_id, v.updated_at FROM m_order_line l JOIN m_order o USING (order_id)
+             JOIN (SELECT *, lead(updated_at) OVER (PARTITION BY product_id ORDER BY updated_at) AS until
+                   FROM m_price_feed WHERE updated_at < TIMESTAMP '{REBUILD_FROM}') v
+               ON v.product_id = l.product_id AND o.ordered_at >= v.updated_at AND (v.until IS NULL OR o.ordered_at < v.until)
+             WHERE l.quantity > 0 AND l.quantity * l.unit_price >= 0) l USING (product_id, updated_at)
+        WHERE f.updated_at < TIMESTAMP '{REBUILD_FROM}' GROUP BY ALL""",
+)
+def star_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A star of the older feed, then a star of all of it: every older version keeps its key, and the older facts still join to it."""
+    older = F.col(SEQUENCE) < ntz(REBUILD_FROM)
+    products, customers = M.product_source(spark, sf), M.customer_source(spark, sf)
+    orders, lines = M.order(spark, sf), M.order_line(spark, sf)
+    first = S.build_star(
+        spark, scratch(spark, "star-older"), S.dim_product(products.filter(older)),
+        S.dim_customer(customers.filter(older), M.CUSTOMER_PREFER), orders, lines,
+    )
+    second = S.build_star(
+        spark, scratch(spark, "star-newer"), S.dim_product(products), S.dim_customer(customers, M.CUSTOMER_PREFER),
+        orders, lines, before=first,
+    )
+    version, old = ["product_id", START], first.dim_product.select("product_id", START, F.col("product_key").alias("old_key"))
+    sold = first.fact_order_line.groupBy(F.col("product_key").alias("old_key")).agg(F.count("*").alias("old_lines"))
+    kept = old.join(second.dim_product.select(*version, "product_key"), version, "left").join(sold, "old_key", "left")
+    return kept.select(*version, F.col("product_key").eqNullSafe(F.col("old_key")).alias("kept_key"),
+                       F.coalesce("old_lines", F.lit(0)).alias("old_lines"))
+
+
 @query("surrogate_keys", """SELECT product_key, product_id, "__START_AT" FROM m_dim_product""")
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
     versions = scd2.versions(M.price_feed(spark, sf), ["product_id"], unique=True)

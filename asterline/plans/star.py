@@ -103,9 +103,9 @@ def resolved_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(resolved: DataFrame) -> DataFrame:
-    """Keys and additive measures, Unknown where nothing was found, row rules applied."""
-    fact = resolved.select(
+def fact_columns(resolved: DataFrame) -> DataFrame:
+    """Keys and additive measures, Unknown where nothing was found."""
+    return resolved.select(
         "order_id",
         "line_number",
         known_key("customer_key").alias("customer_key"),
@@ -115,7 +115,10 @@ def fact_rows(resolved: DataFrame) -> DataFrame:
         "unit_price",
         line_revenue().alias("line_revenue"),
     )
-    return keep(fact, FLOW_RULES["fact_order_line"])
+
+
+def fact_rows(resolved: DataFrame) -> DataFrame:
+    return keep(fact_columns(resolved), FLOW_RULES["fact_order_line"])
 
 
 def fact_order_line(
@@ -144,11 +147,19 @@ class Star:
     fact_order_line: DataFrame
 
 
+def with_stored_keys(dim: DataFrame, key: str, surrogate: str, before: DataFrame) -> DataFrame:
+    """A dimension whose versions keep the numbers they had before; only new ones are numbered."""
+    return assign_keys(dim.drop(surrogate), [key], SEQUENCE, surrogate, stored=before)
+
+
 def build_star(
-    spark: SparkSession, target: str, products: DataFrame, customers: DataFrame, orders: DataFrame, lines: DataFrame
+    spark: SparkSession, target: str, products: DataFrame, customers: DataFrame, orders: DataFrame, lines: DataFrame,
+    before: Star | None = None,
 ) -> Star:
     """Dimensions before the fact; each table is written once and read back.
 
+    With the star built `before`, in another folder, every version that it holds keeps its key, so facts written with it still join.
+
     The dimensions are read twice by the fact (to measure and to join), and a
     written table also survives a lost executor.
     """
@@ -157,6 +168,9 @@ def build_star(
         df.write.mode("overwrite").parquet(f"{target}/{name}")
         return spark.read.parquet(f"{target}/{name}")
 
+    if before is not None:
+        products = with_stored_keys(products, "product_id", "product_key", before.dim_product)
+        customers = with_stored_keys(customers, "customer_id", "customer_key", before.dim_customer)
     products, customers = written(products, "dim_product"), written(customers, "dim_customer")
     dates = written(calendar_of(orders, "ordered_at"), "dim_date")
     write_fact(fact_order_line(lines, orders, products, customers), f"{target}/fact_order_line")
