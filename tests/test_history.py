@@ -78,6 +78,31 @@ def test_built_star_on_disk(spark, seed, tmp_path):
     assert pruned.count() == 2
 
 
+def test_a_rebuilt_star_keeps_its_keys(spark, seed, tmp_path):
+    """First the feed of january, then all of it and a product with a smaller id and one without: old keys stay."""
+    january = product_feed(seed).filter(F.col(SEQUENCE) < sinks.at("2026-02-01"))
+    customers = S.dim_customer(customer_feed(seed))
+    first = S.build_star(spark, str(tmp_path / "a"), S.dim_product(january), customers, seed.order, seed.order_line)
+    more = product_feed(seed).filter("product_id = 100").withColumn("product_id", F.lit(5).cast("long"))
+    newer = S.dim_product(product_feed(seed).unionByName(more))
+    second = S.build_star(spark, str(tmp_path / "b"), newer, customers, seed.order, seed.order_line, before=first)
+    third = S.build_star(spark, str(tmp_path / "c"), newer, customers, seed.order, seed.order_line, before=second)
+    key = [{(r.product_id, r[START]): r.product_key for r in s.dim_product.collect()} for s in (first, second, third)]
+    assert len(key[0]) == 2 and len(key[1]) == 5 and len(set(key[1].values())) == 5
+    assert key[0].items() <= key[1].items() and key[1] == key[2]
+    assert {r.customer_key for r in first.dim_customer.collect()} == {r.customer_key for r in third.dim_customer.collect()}
+    old = S.star_join(first.fact_order_line, third.dim_product, third.dim_customer, third.dim_date).collect()
+    assert {(r.order_id, r.line_number): r.product_name for r in old}[1000, 1] == "Hammer" and len(old) == 4
+
+
+def test_null_keys_keep_their_numbers(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (3, 1)], f"k long, {SEQUENCE} long")
+    first = assign_keys(rows, ["k"], SEQUENCE, "key").cache()
+    again = assign_keys(rows.unionByName(spark.createDataFrame([(None, 3)], rows.schema)), ["k"], SEQUENCE, "key", stored=first)
+    numbers = {(r.k, r[SEQUENCE]): r.key for r in again.collect()}
+    assert len(set(numbers.values())) == 4 and all(numbers[r.k, r[SEQUENCE]] == r.key for r in first.collect())
+
+
 def test_unknown_member(seed):
     members = S.with_unknown(S.dim_product(product_feed(seed)))
     (row,) = members.filter("product_key = -1").collect()

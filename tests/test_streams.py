@@ -135,3 +135,48 @@ def test_stream_of_a_single_file(spark, seed, tmp_path):
     seed.order.coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
     df = tables.stream(spark, str(tmp_path / "t.parquet"), seed.order.schema)
     assert flows.append_stream(df, str(tmp_path / "out")).count() == 2
+
+
+def test_lines_wait_for_their_orders(spark, seed, tmp_path):
+    """Orders in any later batch, some again with a later time: each line comes out once, when its order is there."""
+    from test_history import customer_feed, product_feed
+
+    products, customers = S.dim_product(product_feed(seed)).cache(), S.dim_customer(customer_feed(seed)).cache()
+    orders = seed.order.select("order_id", "customer_id", "ordered_at")
+    line_zone, order_zone = str(tmp_path / "lines"), str(tmp_path / "orders")
+    lost = spark.createDataFrame([(7777, 1, 100, 1, 1.0)], seed.order_line.schema)
+    seed.order_line.unionByName(lost).coalesce(1).write.parquet(line_zone)
+    orders.filter("false").write.parquet(order_zone)
+    flow = flows.FactFlow(spark, str(tmp_path / "fact"), orders.filter("false"), products, customers)
+    lines, placed = (spark.readStream.schema(d.schema).parquet(z) for d, z in ((seed.order_line, line_zone), (orders, order_zone)))
+    seen = []
+    for part in (None, "order_id = 1001", "order_id = 1000"):
+        if part:
+            orders.filter(part).coalesce(1).write.mode("append").parquet(order_zone)
+        flow.run(lines, placed)
+        seen.append((flow.waiting().count(), sorted(r.order_id for r in flow.fact().collect()) if part else []))
+    assert seen == [(5, []), (3, [1001, 1001]), (1, [1000, 1000, 1001, 1001])]
+    want = S.fact_order_line(seed.order_line, seed.order, products, customers)
+    assert sorted(map(str, flow.fact().select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # The last batch again, as after a failure, changes nothing.
+    before = sorted(map(str, flow.fact().collect()))
+    last = flow.spark.read.parquet(str(tmp_path / "fact" / "orders")).agg(F.max("batch")).first()[0]
+    kinds = (seed.order_line.schema.simpleString(), orders.schema.simpleString())
+    again = orders.filter("order_id = 1000").select(
+        F.lit(None).cast(kinds[0]).alias("_line"), F.struct("order_id", "customer_id", "ordered_at").alias("_order")
+    )
+    flow.write(again, last)
+    assert sorted(map(str, flow.fact().collect())) == before
+
+
+def test_rejected_rows_are_counted_and_kept(spark, tmp_path):
+    rules = [Rule("v_counts", "v >= 0"), Rule("k_low", "k < 3")]
+    flow = flows.DimensionFlow(spark, str(tmp_path), ["k"], "key", frame(spark, []).schema, rules)
+    batches = [[(1, 0, 1), (1, 1, -1), (3, 0, -2)], [(2, 0, None), (2, 1, 4), (2, 1, 4)]]
+    for number, rows in enumerate(batches):
+        flow.write(frame(spark, rows), number)
+        flow.write(frame(spark, rows), number)
+    assert {tuple(r) for r in flows.rule_counts(spark, flow.target).collect()} == {("v_counts", 6, 3, 3), ("k_low", 6, 1, 3)}
+    kept = spark.read.parquet(f"{flow.target}/quarantine").collect()
+    assert {(r.k, r.v, tuple(r.failed_rules)) for r in kept} == {(1, -1, ("v_counts",)), (3, -2, ("v_counts", "k_low")), (2, None, ("v_counts",))}
+    assert [h[0] for h in history(flow)] == [1, 2]
