@@ -303,34 +303,49 @@ def _candidates(listed: DataFrame, classes: DataFrame, best: int | None) -> Data
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """The candidates whose whole sets overlap enough; the sets of classes in pairs are built from one text of each."""
+    """The candidates whose whole sets overlap enough, built where a pair meets from one compressed text of each class.
+
+    Hashes do not compress and take more bytes than the words they stand for, so texts travel, and only those that stand for a class.
+    """
     ends = [classes.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("tie").alias(f"{x}_tie")) for x in "ab"]
     pairs = stored(pairs.join(ends[0], "a").join(ends[1], "b"), "jaccard-ends")
-    met = bitmap(pairs.select(F.explode(F.array("a_tie", "b_tie")).alias("tie")), "tie")
+    wanted = F.array(*[F.xxhash64(f"{x}_doc", f"{x}_tie") for x in "ab"])
+    met = bitmap(pairs.select(F.explode(wanted).alias("key")), "key")
 
-    def build(batches):
-        import numpy as np
+    def pack(batches):
         import pyarrow as pa
+        import zstandard
 
-        # Texts of no pair end here; sets are all that travels.
+        small = zstandard.ZstdCompressor(level=6).compress
         for batch in batches:
-            batch = batch.filter(pa.array(marked(met.value, batch.column(1).to_numpy())))
+            batch = batch.filter(pa.array(marked(met.value, batch.column(3).to_numpy())))
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
-                all_sets = [shingles((t or "").encode()).view(np.int64) for t in some.column(2).to_pylist()]
-                offsets = pa.array(np.cumsum([0, *map(len, all_sets)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns[:2], pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_sets)))],
-                    names=["doc_id", "tie", "shingles"])
+                packed = [small((t or "").encode()) for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(packed, pa.binary())], names=["doc_id", "tie", "packed"])
 
-    whole = stored(_text(docs, ident, text).mapInArrow(build, "doc_id long, tie long, shingles array<long>"), "jaccard-sets")
+    def verify(batches):
+        import numpy as np
+        import pyarrow as pa
+        import zstandard
+
+        whole = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                one, two = (shingles(whole(batch.column(c)[i].as_py())) for c in (2, 3))
+                overlap = len(np.intersect1d(one, two, assume_unique=True))
+                keep[i] = 100 * overlap >= SHARE * (len(one) + len(two) - overlap)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    keyed = _text(docs, ident, text).withColumn("key", F.xxhash64("doc_id", "tie"))
+    # A row repeated with id and text stands for its class once.
+    texts = stored(keyed.mapInArrow(pack, "doc_id long, tie long, packed binary").dropDuplicates(["doc_id", "tie"]), "jaccard-texts")
     for x in "ab":
-        side = whole.select(F.col("doc_id").alias("s_doc"), F.col("tie").alias("s_tie"), F.col("shingles").alias(f"s{x}"))
+        side = texts.select(F.col("doc_id").alias("s_doc"), F.col("tie").alias("s_tie"), F.col("packed").alias(f"s{x}"))
         on = F.col(f"{x}_doc").eqNullSafe(F.col("s_doc")) & (F.col(f"{x}_tie") == F.col("s_tie"))
         pairs = pairs.join(side, on).drop("s_doc", "s_tie")
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    # A row repeated with id and text meets its pairs again.
-    return pairs.where(100 * overlap >= SHARE * (F.size("sa") + F.size("sb") - overlap)).select("a", "b").distinct()
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
 
 
 def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
