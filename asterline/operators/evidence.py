@@ -153,3 +153,19 @@ def policy_revision(rules: DataFrame, by: list[str]) -> DataFrame:
         F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("policy_revision"),
         F.count("*").alias("rules"),
     )
+
+
+def decision_entries(decided: DataFrame, contract: Column, revision: Column, evaluated_at: Column, machine: str) -> DataFrame:
+    """Decisions as ledger entries (chain_id, at, machine, payload): one chain for each contract, in the order they were taken.
+
+    The payload says what was decided, on which contract and revision of its rules, when, and what was violated: the whole decision
+    can be read from the ledger alone. Names are in order at every depth.
+    """
+    found = F.transform(
+        "violations", lambda v: F.struct(v["id"].alias("id"), v["message"].alias("message"), v["reason_code"].alias("reason_code"))
+    )
+    payload = canonical_json(
+        action=F.col("action"), contract=contract, evaluated_at=evaluated_at.cast("string"), outcome=F.col("outcome"),
+        policy_revision=revision, reason_code=F.col("decision_reason"), violations=found,
+    )
+    return decided.select(contract.alias("chain_id"), evaluated_at.alias("at"), F.lit(machine).alias("machine"), payload.alias("payload"))

@@ -77,6 +77,30 @@ def build(entries: DataFrame, order: str, stored: DataFrame | None = None) -> Da
     )
 
 
+def forks(log: DataFrame) -> DataFrame:
+    """(chain_id, sequence, writers): places that more than one entry claims, as two loads do that continue the same tail."""
+    return log.groupBy("chain_id", "sequence").agg(F.count("*").alias("writers")).where("writers > 1")
+
+
+def appended(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The stored entries with new ones after them.
+
+    A place that is taken, a gap, and an entry that does not continue the stored tail stop the query: the load was built on a tail
+    that another one has moved, and has to be built again.
+    """
+    tails = stored.groupBy("chain_id").agg(F.max_by("entry_hash", "sequence").alias("_last"), F.max("sequence").alias("_at"))
+    first = new.groupBy("chain_id").agg(F.min_by("previous_hash", "sequence").alias("_previous"), F.min("sequence").alias("_start"))
+    met = first.join(tails, "chain_id", "left").select(
+        F.col("chain_id").alias("_chain"),
+        ((F.col("_start") == F.coalesce(F.col("_at") + 1, F.lit(0))) & (F.col("_previous") == F.coalesce("_last", F.lit(GENESIS)))).alias("_fits"),
+    )
+    held = new.join(met, F.col("chain_id") == F.col("_chain"))
+    checked = F.when(F.col("_fits"), F.col("entry_hash")).otherwise(
+        F.raise_error(F.concat(F.lit("not built on the tail of chain "), F.col("chain_id")))
+    )
+    return stored.unionByName(held.withColumn("entry_hash", checked).select(*new.columns))
+
+
 def verify(log: DataFrame, line: str, chains: DataFrame | None = None) -> DataFrame:
     """Walk each chain in log order and report its first break.
 

@@ -589,6 +589,47 @@ def ledger_tamper_cases(spark: SparkSession, sf: str) -> DataFrame:
     return L.verify(tampered(ledger), "line", ledger.select("chain_id"))
 
 
+_HISTORY_RULES = [
+    Rule("order.order_id.gt", "order_id > 0", "OUT_OF_RANGE"),
+    Rule("order.blocked", "NOT (status = 'shipped' AND customer_id % 100 = 7)", "BLOCKED_CUSTOMER"),
+]
+_HISTORY_REVISION = "\n".join(sorted(f"{r.id} {r.predicate}" for r in _HISTORY_RULES)).replace("'", "''")
+MODEL["m_decision"] = f"""
+    SELECT 'order/' || shard AS chain_id, 'policy' AS machine, row_number() OVER (PARTITION BY shard ORDER BY month) - 1 AS sequence,
+           '{{"action":"' || CASE WHEN broken = '' THEN 'publish' ELSE 'halt' END || '","contract":"order/' || shard ||
+           '","evaluated_at":"' || strftime(month, '%Y-%m-%d') || '","outcome":"' || CASE WHEN broken = '' THEN 'pass' ELSE 'fail' END ||
+           '","policy_revision":"' || sha256('{_HISTORY_REVISION}') || '","reason_code":"' ||
+           CASE WHEN broken = '' THEN 'POLICY_SATISFIED' ELSE 'POLICY_VIOLATIONS' END || '","violations":[' || broken || ']}}' AS payload
+    FROM (SELECT shard, month, array_to_string(list_filter([
+             CASE WHEN b > 0 THEN '{{"id":"order.blocked","message":"' || b || ' of ' || n || ' rows","reason_code":"BLOCKED_CUSTOMER"}}' END,
+             CASE WHEN o > 0 THEN '{{"id":"order.order_id.gt","message":"' || o || ' of ' || n || ' rows","reason_code":"OUT_OF_RANGE"}}' END],
+             lambda x: x IS NOT NULL), ',') AS broken
+          FROM (SELECT customer_id % 10 AS shard, date_trunc('month', ordered_at) AS month, count(*) AS n,
+                       count(*) FILTER (WHERE status = 'shipped' AND customer_id % 100 = 7) AS b,
+                       count(*) FILTER (WHERE NOT order_id > 0) AS o FROM m_order GROUP BY 1, 2))"""
+
+
+def _decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """One decision for each shard of orders and month, as ledger entries."""
+    by = ["shard", "month"]
+    month = F.date_trunc("month", "ordered_at").cast("date").alias("month")
+    orders = M.order(spark, sf).select("*", (F.col("customer_id") % 10).alias("shard"), month)
+    metrics = stored(Q.rule_metrics(orders, _HISTORY_RULES, by=by), "metrics")
+    decided = V.decisions(V.verdicts(metrics.select(*by, "rule_id", "reason_code"), metrics, by))
+    rules = spark.createDataFrame([("order", r.id, r.predicate) for r in _HISTORY_RULES], "contract string, rule_id string, predicate string")
+    revision = V.policy_revision(rules, ["contract"]).first().policy_revision
+    return V.decision_entries(decided, F.concat(F.lit("order/"), "shard"), F.lit(revision), F.col("month"), "policy")
+
+
+@query("decision_ledger", f"{_CHAIN_SQL.replace('m_entry', 'm_decision')} SELECT * FROM chained")
+def decision_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Every decision with its contract, outcome, action, revision, violations and time, chained; the later half is a load of its own."""
+    entries = stored(_decisions(spark, sf), "decisions")
+    half = F.col("at") < F.lit("1995-06-01").cast("date")
+    first = stored(L.build(entries.where(half), "at"), "ledger")
+    return L.appended(first, stored(L.build(entries.where(~half), "at", first), "ledger"))
+
+
 # --- lineage ---------------------------------------------------------------------------
 
 _CASES_SOURCE = " ".join(f"WHEN {i} THEN '{s}'" for i, (s, _) in enumerate(M.STAR_EDGES))

@@ -150,3 +150,22 @@ def test_impact_survives_a_cycle(spark, log):
         ("s.a", "d.x", 1), ("s.a", "f.z", 2), ("s.a", "s.b", 3), ("s.a", "d.y", 4),
         ("s.b", "d.y", 1), ("s.b", "f.z", 2),
     }
+
+
+def test_two_loads_on_one_tail_are_a_fork(spark):
+    """Both writers read the same tail: their entries claim the same places, and only one load can be appended."""
+    make = lambda rows: spark.createDataFrame([(*r, "m", "{}") for r in rows], "chain_id string, n long, machine string, payload string")
+    first = L.build(make([("a", 1), ("a", 2), ("b", 1)]), "n").cache()
+    one = L.build(make([("a", 3), ("c", 1)]), "n", first).cache()
+    two = L.build(make([("a", 4), ("a", 5)]), "n", first).cache()
+    log = L.appended(first, one).cache()
+    assert L.forks(log).count() == 0 and log.count() == 5
+    assert {(r.chain_id, r.sequence, r.writers) for r in L.forks(log.unionByName(two)).collect()} == {("a", 2, 2)}
+    with pytest.raises(Exception, match="not built on the tail of chain a"):
+        L.appended(log, two).collect()
+    again = L.build(make([("a", 4), ("a", 5)]), "n", log)
+    whole = L.appended(log, again)
+    assert all(r.intact for r in L.verify(whole.withColumn("line", whole["sequence"]), "line").collect())
+    gap = one.withColumn("sequence", one["sequence"] + 1)
+    with pytest.raises(Exception, match="not built on the tail"):
+        L.appended(first, gap).collect()
