@@ -45,6 +45,18 @@ SKIP_NAMES = ("uv.lock", "flake.lock")
 # Suffixes reserved for tests and examples, in which no address is real.
 RESERVED_SUFFIXES = ("test", "example", "invalid", "localhost", "local", "internal", "onion", "arpa")
 
+# Suffixes of the public root zone that are not two letters of a country. Anything else after the last dot, such as that of
+# a file, makes no address.
+GENERIC_SUFFIXES = (
+    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "aero", "asia", "cat", "coop", "jobs", "mobi",
+    "museum", "post", "tel", "travel", "app", "art", "bank", "blog", "business", "cafe", "center", "chat", "city", "cloud", "club",
+    "company", "consulting", "design", "dev", "digital", "email", "energy", "expert", "finance", "fun", "global", "group", "guru",
+    "health", "host", "inc", "institute", "international", "law", "legal", "life", "link", "live", "ltd", "media", "money", "network",
+    "news", "one", "online", "page", "photo", "press", "school", "science", "services", "shop", "site", "social", "software",
+    "solutions", "space", "store", "studio", "support", "systems", "team", "tech", "technology", "tips", "today", "tools", "top",
+    "university", "ventures", "video", "website", "wiki", "work", "works", "world", "xyz", "zone",
+)
+
 PATTERNS = {
     "EMAIL_ADDRESS": r"\b[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b",
     "CREDIT_CARD": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
@@ -110,7 +122,9 @@ def matches(entity: str) -> Column:
 
 
 def suffix_real(address: Column) -> Column:
-    return ~F.lower(F.element_at(F.split(address, "\\."), -1)).isin(*RESERVED_SUFFIXES)
+    """Two letters or a known generic suffix; reserved ones and those of files are neither."""
+    suffix = F.lower(F.element_at(F.split(address, "\\."), -1))
+    return ((F.length(suffix) == 2) | suffix.isin(*GENERIC_SUFFIXES)) & ~suffix.isin(*RESERVED_SUFFIXES)
 
 
 def _score(entity: str, match: Column) -> Column:

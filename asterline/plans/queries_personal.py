@@ -39,8 +39,9 @@ def _sql_valid(entity: str) -> tuple[str, float]:
     """The validity of match m on its line, and the score it earns."""
     context = f"regexp_matches(line, '{P.CONTEXT[entity]}')" if entity in P.CONTEXT else ""
     if entity == "EMAIL_ADDRESS":
-        suffixes = ", ".join(f"'{s}'" for s in P.RESERVED_SUFFIXES)
-        return f"lower(regexp_extract(m, '[^.]*$')) NOT IN ({suffixes})", 1.0
+        known = ", ".join(f"'{s}'" for s in P.GENERIC_SUFFIXES if s not in P.RESERVED_SUFFIXES)
+        suffix = "lower(regexp_extract(m, '[^.]*$'))"
+        return f"(length({suffix}) = 2 OR {suffix} IN ({known}))", 1.0
     if entity == "CREDIT_CARD":
         digits = "regexp_replace(m, '[ -]', '', 'g')"
         digit = f"CAST(substr(reverse({digits}), i, 1) AS INTEGER)"

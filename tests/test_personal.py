@@ -28,6 +28,8 @@ CARD = "4" + "1" * 15
 
 CASES = [
     ("write to\nsome.one@mail.example.org today", [(2, "EMAIL_ADDRESS", 1.0)]),
+    ("see logo@2x.png, x@y.zzzz and icon@3x.JPEG", []),
+    ("at a@b.de or c@d.co.uk", [(1, "EMAIL_ADDRESS", 1.0), (1, "EMAIL_ADDRESS", 1.0)]),
     ("some.one@example.invalid", []),
     (f"card {CARD} on file", [(1, "CREDIT_CARD", 1.0)]),
     ("card 4111 1111 1111 1111 4111-1111-1111-1111", [(1, "CREDIT_CARD", 1.0)] * 2),
