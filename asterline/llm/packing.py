@@ -17,6 +17,7 @@ and the library's ids of each piece are kept in a bounded table; texts with othe
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import types
 import zlib
@@ -32,7 +33,9 @@ MAGIC = b"IDPACK01"
 BLOCK = 4096
 FILE_IDS = 4 << 20
 #: Pieces in each of the two generations whose ids a worker keeps; the older one goes when the younger is full.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
+#: Characters of a key beyond which its ids are not kept.
+KEPT_LENGTH = 256
 ODD_SPACE = re.compile(r"[^\S \n]")
 PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
@@ -116,6 +119,11 @@ class Packed:
         return np.concatenate(out)[start - first * self.block : stop - first * self.block]
 
 
+def little(ids: list[int]) -> bytes:
+    """ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def byte_characters() -> list[str]:
     """The printable stand-in of each byte: itself if printable, else the next character from 256 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -126,6 +134,28 @@ def byte_characters() -> list[str]:
     return out
 
 
+class Pieces(dict):
+    """ids of pieces by key, in two generations. A missing key is looked up in the older one or learned; long ones are not kept."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        self.learn = learn
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.learn(key)
+        if len(key) <= KEPT_LENGTH:
+            self[key] = ids
+        return ids
+
+    def age(self) -> None:
+        """When the younger generation is full it becomes the older one."""
+        if len(self) > KEPT_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """ids of texts (as little-endian unsigned 32-bit bytes), with the pieces met before kept.
 
@@ -134,21 +164,16 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import numpy as np
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        def own(text: str) -> bytes:
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
         characters = byte_characters()
         self.bytes = str.maketrans(dict(enumerate(characters)))
-        self.space, self.line = characters[32], own("\n")
-        self.marks = {c: own(c) for c in ".,;:!?"}
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.space, self.line = characters[32], self._whole("\n")
+        self.marks = {c: self._whole(c) for c in ".,;:!?"}
+        self.pieces = Pieces(self._learn)
 
     def keys(self, text: str) -> list[str]:
         odd = any(c in text for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if text.isascii() else ODD_SPACE.search(text)
@@ -162,45 +187,27 @@ class Encoder:
             return out
         return out[1:]
 
-    def _learn(self, keys: list[str]) -> None:
-        """ids of new pieces. A piece of letters, with or without one mark after them, is one or two words to the library's
-        model, which takes them by themselves; any other piece goes through the library whole."""
-        import numpy as np
+    def _whole(self, piece: str) -> bytes:
+        return little(self.library.encode(piece, add_special_tokens=False).ids)
 
-        others, model, marks = [], self.library.model.tokenize, self.marks
-        for k in keys:
-            tail = marks.get(k[-1:])
-            word = k[:-1] if tail else k
-            line = word[:1] == "\n"
-            word = word[1:] if line else word
-            if not word.isalpha():
-                others.append(k)
-                continue
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.bytes)
-            ids = [t.id for t in model(word if line else self.space + word)]
-            self.kept[k] = (self.line if line else b"") + np.array(ids, "<u4").tobytes() + (tail or b"")
-        pieces = [k[1:] if k[:1] == "\r" else k if k[:1] == "\n" else " " + k for k in others]
-        for k, e in zip(others, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.kept[k] = np.array(e.ids, "<u4").tobytes()
+    def _learn(self, key: str) -> bytes:
+        """ids of a new piece. A piece of letters, with or without one mark after them, is one or two words to the library's
+        model, which takes them by themselves; any other piece goes through the library whole."""
+        tail = self.marks.get(key[-1:])
+        word = key[:-1] if tail else key
+        line = word[:1] == "\n"
+        word = word[1:] if line else word
+        if not word.isalpha():
+            return self._whole(key[1:] if key[:1] == "\r" else key if key[:1] == "\n" else " " + key)
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.bytes)
+        ids = little([t.id for t in self.library.model.tokenize(word if line else self.space + word)])
+        return (self.line if line else b"") + ids + (tail or b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_PIECES:
-            self.older, self.kept = self.kept, {}
-        get, kept, older = self.kept.get, self.kept, self.older
-        cut = [self.keys(t) for t in texts]
-        out = [list(map(get, keys)) for keys in cut]
-        need = {k for keys, ids in zip(cut, out) if None in ids for k, x in zip(keys, ids) if x is None}
-        for k in need & older.keys():
-            kept[k] = older[k]
-        self._learn([k for k in need if k not in kept])
-        for keys, ids in zip(cut, out):
-            if None in ids:
-                ids[:] = map(get, keys)
-        out = [b"".join(ids) for ids in out]
-        for k in [k for k in need if len(k) > 256]:
-            del kept[k]
-        return out
+        self.pieces.age()
+        found = self.pieces.__getitem__
+        return [b"".join(map(found, self.keys(t))) for t in texts]
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, ident: str = "doc_id", text: str = "text") -> DataFrame:
