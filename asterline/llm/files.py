@@ -1,8 +1,10 @@
-"""Files of the operators' own formats in the shared folder: written by tasks, read by Spark."""
+"""Files of the operators' own formats in the shared folder, written by tasks and read by Spark; memory of their workers."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,3 +32,25 @@ def whole_file(uri: str):
 def contents(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content) of each file of a folder; hidden files are left out."""
     return spark.read.format("binaryFile").load(folder).select("path", "content")
+
+
+def release() -> None:
+    """Give memory that this worker has freed, and its allocators keep, back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(function: Callable) -> Callable:
+    """A function of a task's batches, after which the worker, kept for later tasks, holds no memory that it does not use."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run

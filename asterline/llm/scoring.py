@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from asterline.llm.bitmaps import bitmap
 from asterline.llm.bitmaps import marked as may_be_in
+from asterline.llm.files import lean, release
 from asterline.llm.textparts import mix, word_hashes
 from asterline.session import stored
 
@@ -33,7 +34,7 @@ WORD_BITS = 18
 PAIR_WEIGHT = 0.6
 #: Tokens of a batch, and bytes of text for each bucket of counts.
 BATCH = 3 << 19
-BUCKET = 16 << 20
+BUCKET = 8 << 20
 #: Kinds of rows: counts of words, counts of pairs, documents; sums of a bucket.
 WORDS, PAIRS, DOCUMENT, SUMS = range(4)
 
@@ -77,6 +78,13 @@ def spread(data: bytes, height: int, n: int):
     return np.ascontiguousarray(flat.T).view(np.int64).reshape(height, n)
 
 
+def each(batches):
+    """Rows one at a time: a batch of rows with large values is not copied whole."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in batch.columns)
+
+
 def counted(docs: DataFrame, buckets: int) -> DataFrame:
     """Documents (id, text, target) in batches, and each batch's counts by bucket.
 
@@ -120,7 +128,7 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
         for rows_of in rows:
             texts = rows_of.select([0, 1])
             start = 0
-            for i, (t, own) in enumerate(zip(rows_of.column(1).to_pylist(), rows_of.column(2).to_pylist())):
+            for i, (_, t, own) in enumerate(each([rows_of])):
                 parts.append(slots((t or "").encode()))
                 chosen.append(own)
                 size += len(parts[-1][0])
@@ -128,12 +136,13 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
                     slices.append(texts.slice(start, i + 1 - start))
                     yield from emit(slices, parts, chosen)
                     slices, parts, chosen, size, start, batch = [], [], [], 0, i + 1, batch + 1
+                    release()
             if start < rows_of.num_rows:
                 slices.append(texts.slice(start))
         if parts:
             yield from emit(slices, parts, chosen)
 
-    return docs.mapInArrow(count, "batch long, kind int, bucket long, n long, hashes binary, counts binary")
+    return docs.mapInArrow(lean(count), "batch long, kind int, bucket long, n long, hashes binary, counts binary")
 
 
 def answered(counts: DataFrame, buckets: int) -> DataFrame:
@@ -146,14 +155,19 @@ def answered(counts: DataFrame, buckets: int) -> DataFrame:
         def solved(key, group):
             kind, bucket = key
             height = 4 if kind == WORDS else 2
-            hashes = [np.cumsum(spread(h, 1, n)[0].view(np.uint64), dtype=np.uint64) for _, n, h, _ in group]
-            _, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            own = np.concatenate([spread(c, height, n) for _, n, _, c in group], 1)
-            # Sums of doubles are exact below 2**53.
-            sums = np.stack([np.bincount(at, weights=row) for row in own]).astype(np.int64)
-            ends = np.cumsum([len(h) for h in hashes])
             batch, n = [g[0] for g in group], [g[1] for g in group]
-            found = [squeezed(sums[:, at[e - len(h) : e]]) for h, e in zip(hashes, ends)]
+            ends = np.cumsum(n)
+            hashes = np.empty(ends[-1], np.uint64)
+            for (_, m, h, _), e in zip(group, ends):
+                hashes[e - m : e] = np.cumsum(spread(h, 1, m)[0].view(np.uint64), dtype=np.uint64)
+            keys, at = np.unique(hashes, return_inverse=True)
+            size = len(keys)
+            del hashes, keys
+            # A batch names each hash once, so its counts are added in place, batch after batch.
+            sums = np.zeros((height, size), np.int64)
+            for (_, m, _, c), e in zip(group, ends):
+                sums[:, at[e - m : e]] += spread(c, height, m)
+            found = [squeezed(sums[:, at[e - m : e]]) for m, e in zip(n, ends)]
             kinds = [kind] * len(group)
             if kind == WORDS:
                 batch.append(-1), kinds.append(SUMS), n.append(3)
@@ -164,18 +178,18 @@ def answered(counts: DataFrame, buckets: int) -> DataFrame:
                 names=["batch", "kind", "bucket", "n", "counts"])
 
         key, group = None, []
-        for some in rows:
-            for batch, kind, bucket, n, hashes, own in zip(*(c.to_pylist() for c in some.columns)):
-                if (kind, bucket) != key:
-                    if group:
-                        yield solved(key, group)
-                    key, group = (kind, bucket), []
-                group.append((batch, n, hashes, own))
+        for batch, kind, bucket, n, hashes, own in each(rows):
+            if (kind, bucket) != key:
+                if group:
+                    yield solved(key, group)
+                    release()
+                key, group = (kind, bucket), []
+            group.append((batch, n, hashes, own))
         if group:
             yield solved(key, group)
 
     dealt = counts.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket")
-    return dealt.mapInArrow(add, "batch long, kind int, bucket long, n long, counts binary")
+    return dealt.mapInArrow(lean(add), "batch long, kind int, bucket long, n long, counts binary")
 
 
 def totals(answers: DataFrame) -> tuple[int, int, int]:
@@ -259,17 +273,17 @@ def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str
                     names=[ident, "n_tokens", "target_loss", "background_loss", "score"])
 
         key, found = None, {}
-        for some in rows:
-            for batch, kind, _, m, data in zip(*(c.to_pylist() for c in some.columns)):
-                if batch != key:
-                    key, found = batch, {WORDS: [], PAIRS: []}
-                # A batch's documents come last.
-                if kind == DOCUMENT:
-                    yield from solved(found, pa.ipc.open_stream(data).read_all().to_batches())
-                else:
-                    found[kind].append((m, data))
+        for batch, kind, _, m, data in each(rows):
+            if batch != key:
+                key, found = batch, {WORDS: [], PAIRS: []}
+            # A batch's documents come last.
+            if kind == DOCUMENT:
+                yield from solved(found, pa.ipc.open_stream(data).read_all().to_batches())
+                release()
+            else:
+                found[kind].append((m, data))
 
     texts = rows.where(F.col("kind") == DOCUMENT).drop("hashes")
     dealt = texts.unionByName(answers.where(F.col("kind") != SUMS)).repartition(buckets, "batch")
     return dealt.sortWithinPartitions("batch", "kind", "bucket").mapInArrow(
-        score, f"`{ident}` {kind}, n_tokens long, target_loss double, background_loss double, score double")
+        lean(score), f"`{ident}` {kind}, n_tokens long, target_loss double, background_loss double, score double")
