@@ -44,6 +44,14 @@ def canonical_json(**columns: Column) -> Column:
     return F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
 
 
+def canonical_object(text: str | Column) -> Column:
+    """Compact JSON of any JSON text, with the names in order at every depth; null for text that is none, or that names a key twice.
+
+    Arrays keep their order. A number is written by its value: 1.50 and 1.5 are one number.
+    """
+    return F.to_json(F.try_parse_json(F.col(text) if isinstance(text, str) else text))
+
+
 def json_text(column: str) -> Column:
     """One string as a JSON string literal, quotes included."""
     wrapped = F.to_json(F.struct(F.coalesce(F.col(column), F.lit("")).alias("s")))

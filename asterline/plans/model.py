@@ -108,17 +108,13 @@ def raw_price_feed(spark: SparkSession, sf: str) -> DataFrame:
     return price_changes(table(spark, sf, "lineitem"))
 
 
-def product_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+def product_rows(feed: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """The feed with the product's name and its category's, folded in once.
 
     The feed's own clock is kept; a renamed category is no change of a product.
     """
-    feed = raw_price_feed(spark, sf) if feed is None else feed
     described = lookup(
-        product(spark, sf).select("product_id", "product_name", "category_id"),
-        category(spark, sf),
-        "category_id",
-        ["category_name"],
+        products.select("product_id", "product_name", "category_id"), categories, "category_id", ["category_name"]
     )
     return lookup(feed, described, "product_id", ["product_name", "category_name"]).select(
         "product_id",
@@ -129,6 +125,11 @@ def product_source(spark: SparkSession, sf: str, feed: DataFrame | None = None)
     )
 
 
+def product_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+    feed = raw_price_feed(spark, sf) if feed is None else feed
+    return product_rows(feed, product(spark, sf), category(spark, sf))
+
+
 def domain_changes(orders: DataFrame) -> DataFrame:
     """(customer_id, updated_at, order_id, email_domain): a domain with every order.
 
@@ -152,16 +153,20 @@ def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def customer_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+def customer_rows(feed: DataFrame, customers: DataFrame) -> DataFrame:
     """The feed with the customer's name; columns that order its messages stay."""
-    feed = domain_changes(table(spark, sf, "orders")) if feed is None else feed
-    names = customer(spark, sf).select("customer_id", "full_name")
+    names = customers.select("customer_id", "full_name")
     extra = [c for c in feed.columns if c not in {"customer_id", "email_domain", SEQUENCE}]
     return lookup(feed, names, "customer_id", ["full_name"]).select(
         "customer_id", *extra, "full_name", "email_domain", SEQUENCE
     )
 
 
+def customer_source(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+    feed = domain_changes(table(spark, sf, "orders")) if feed is None else feed
+    return customer_rows(feed, customer(spark, sf))
+
+
 # What decides between two changes of a customer on one day.
 CUSTOMER_PREFER = ("order_id",)
 

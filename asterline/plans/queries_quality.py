@@ -13,12 +13,14 @@ from asterline.operators import lineage as G
 from asterline.operators import quality as Q
 from asterline.operators import scd2
 from asterline.operators.asof import asof_join
+from asterline.operators.timeline import with_neighbour
 from asterline.plans import model as M
 from asterline.plans import star as S
 from asterline.plans.catalog import MODEL, query
 from asterline.plans.queries_star import _lines_with_time, ntz
-from asterline.plans.warehouse import star
-from asterline.session import stored, table
+from asterline.plans.steps import recorded
+from asterline.plans.warehouse import STEPS, build_recorded, star
+from asterline.session import scratch, stored, table
 
 # --- the same checks as SQL, written from the contracts ------------------------------
 
@@ -728,3 +730,41 @@ def lineage_impact(spark: SparkSession, sf: str) -> DataFrame:
     """If a source table changes: everything downstream, however far."""
     reached = G.impact(M.lineage_log(spark, sf), _names(spark, M.SOURCES))
     return reached.select("root", "affected")
+
+
+@query(
+    "lineage_impact_chain",
+    """SELECT 'event_' || min(event_id) OVER (PARTITION BY user_id) AS root, 'event_' || event_id AS affected,
+              CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS depth
+       FROM events QUALIFY depth > 0""",
+)
+def lineage_impact_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user's events as a chain of any length: how far each is from the first."""
+    events = table(spark, sf, "events").select("user_id", "event_id")
+    name = lambda column: F.concat(F.lit("event_"), F.col(column))
+    following = with_neighbour(events, ["user_id"], "event_id", "event_id", "next_id").where("next_id IS NOT NULL")
+    log = following.select(name("event_id").alias("source"), name("next_id").alias("target"))
+    first = events.groupBy("user_id").agg(F.min("event_id").alias("first")).select(name("first").alias("name"))
+    return G.impact(log, first)
+
+
+_READ = ", ".join(f"('{source}', '{step.target}')" for step in STEPS for source in step.reads)
+
+
+@query(
+    "lineage_recorded",
+    f"""SELECT source, target, n_rows FROM (VALUES {_READ}) e(source, target) JOIN (
+         SELECT 'olap.dim_product' AS target, count(*) AS n_rows FROM m_dim_product
+         UNION ALL SELECT 'olap.dim_customer', count(*) FROM m_dim_customer
+         UNION ALL SELECT 'olap.dim_date', count(*) FROM m_dim_date
+         UNION ALL SELECT 'olap.fact_order_line', count(*) FROM m_fact) USING (target)""",
+)
+def lineage_recorded(spark: SparkSession, sf: str) -> DataFrame:
+    """What a build of the star really read: its log's edges, with the rows of each table written."""
+    log = scratch(spark, "lineage-log")
+    built = build_recorded(spark, sf, log)
+    counts = None
+    for step in STEPS:
+        one = built[step.target].agg(F.count("*").alias("n_rows")).select(F.lit(step.target).alias("target"), "n_rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return G.edges(recorded(spark, log)).join(counts, "target").select("source", "target", "n_rows")

@@ -769,6 +769,20 @@ def scalar_canonical_hash(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.sha2(text, 256).alias("digest"))
 
 
+@query(
+    "scalar_canonical_nested",
+    """SELECT event_id, sha256('{"at":[{"id":' || event_id || ',"kind":"' || event_type || '"},null],"machine":{"name":"m' ||
+              (user_id % 4) || '","user":' || user_id || '}}') AS digest FROM events""",
+)
+def scalar_canonical_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """One object, written with its names in another order and other spaces by each machine: one digest."""
+    one = '{"machine":{"user":%d,"name":"m%d"},"at":[{"kind":"%s","id":%d},null]}'
+    two = '{ "at" : [ {"id": %4$d, "kind": "%3$s"}, null ],\n "machine": {"name": "m%2$d", "user": %1$d} }'
+    values = ["user_id", F.col("user_id") % 4, "event_type", "event_id"]
+    text = F.when(F.col("event_id") % 2 == 0, F.format_string(one, *values)).otherwise(F.format_string(two, *values))
+    return table(spark, sf, "events").select("event_id", F.sha2(scalars.canonical_object(text), 256).alias("digest"))
+
+
 @query(
     "scalar_to_timestamp",
     """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS ordered_at
