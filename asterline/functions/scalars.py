@@ -106,6 +106,37 @@ def iban_valid(code: Column) -> Column:
     return remainder == 1
 
 
+BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+
+def base58_valid(address: Column) -> Column:
+    """Whether a text of base58 digits is 21 bytes followed by the first four of their double SHA-256.
+
+    The number is kept in five parts of 40 bits, low ones first; what does not fit in them is too long.
+    """
+    parts, low = 5, (1 << 40) - 1
+    nothing = F.array(*[F.lit(0).cast("long")] * (parts + 1))
+
+    def digit(number: Column, char: Column) -> Column:
+        carry, out = F.instr(F.lit(BASE58), char).cast("long") - 1, []
+        for i in range(parts):
+            wide = number[i] * 58 + carry
+            out.append(wide.bitwiseAND(F.lit(low)))
+            carry = F.shiftright(wide, 40)
+        return F.array(*out, F.greatest(number[parts], carry))
+
+    def checked(number: Column) -> Column:
+        text = F.concat(*[F.lpad(F.hex(number[i]), 10, "0") for i in reversed(range(parts))])
+        ones = F.length(F.regexp_extract(address, "^(1*)", 1))
+        zeros = F.length(F.regexp_extract(text, "^((?:00)*)", 1)) / 2
+        digest = F.sha2(F.unhex(F.sha2(F.unhex(F.substring(text, 1, 42)), 256)), 256)
+        return (number[parts] == 0) & (ones == zeros) & (F.substring(digest, 1, 8) == F.lower(F.substring(text, 43, 8)))
+
+    # One element, so that the number is computed once.
+    number = F.aggregate(F.split(address, ""), nothing, digit)
+    return F.transform(F.array(number), checked)[0]
+
+
 def medical_license_valid(code: Column) -> Column:
     """The registration checksum: (d1+d3+d5) + 2*(d2+d4+d6) ends in d7."""
     digit = lambda i: F.substring(code, 2 + i, 1).cast("int")

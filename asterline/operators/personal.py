@@ -6,16 +6,11 @@ word on its line 0.85, a format alone 0.5. Findings start at 0.8.
 
 from __future__ import annotations
 
-import hashlib
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from asterline.functions.scalars import (
+    base58_valid,
     iban_valid,
     luhn_valid,
     medical_license_valid,
@@ -76,32 +71,6 @@ CONTEXT = {
     "PHONE_NUMBER": r"(?i)\b(?:phone|telephone|tel|call|mobile|fax)\b",
 }
 
-# The checksum travels with its task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
-
-
-def base58_checked(address: str) -> bool:
-    """Whether a base58 text is 21 bytes followed by their double-SHA-256 check."""
-    number = 0
-    for char in address:
-        number = number * 58 + _BASE58.index(char)
-    if number.bit_length() > 200:
-        return False
-    raw = number.to_bytes(25, "big")
-    zeros = len(address) - len(address.lstrip("1"))
-    if zeros != len(raw) - len(raw.lstrip(b"\0")):
-        return False
-    digest = hashlib.sha256(hashlib.sha256(raw[:21]).digest()).digest()
-    return digest[:4] == raw[21:]
-
-
-@F.pandas_udf(T.ArrayType(T.BooleanType()))
-def _base58_flags(found: pd.Series) -> pd.Series:
-    return found.map(lambda texts: [base58_checked(text) for text in texts])
-
-
 def lines(corpus: DataFrame) -> DataFrame:
     """(document, source, line_no, line): whole texts, only lines that can hold a finding.
 
@@ -135,6 +104,8 @@ def _score(entity: str, match: Column) -> Column:
         checked = luhn_valid(F.regexp_replace(match, "[ -]", ""))
     elif entity == "IBAN_CODE":
         checked = iban_valid(F.replace(match, F.lit(" "), F.lit("")))
+    elif entity == "CRYPTO":
+        checked = base58_valid(match)
     elif entity == "MEDICAL_LICENSE":
         checked = medical_license_valid(match)
     else:
@@ -147,8 +118,6 @@ def _score(entity: str, match: Column) -> Column:
 
 def scored(entity: str) -> Column:
     """An array of (entity, score), one element per match on the line."""
-    if entity == "CRYPTO":
-        raise ValueError("base58 checksums are judged apart: see crypto_findings")
     return F.transform(
         matches(entity),
         lambda m: F.struct(F.lit(entity).alias("entity"), _score(entity, m).alias("score")),
@@ -156,28 +125,9 @@ def scored(entity: str) -> Column:
 
 
 def candidates(corpus: DataFrame, entities: tuple[str, ...]) -> DataFrame:
-    """Every match with its score: narrow, no shuffle."""
-    plain = [scored(e) for e in entities if e != "CRYPTO"]
-    searched = lines(corpus)
-    keep = ["document", "source", "line_no"]
-    result = None
-    if plain:
-        merged = F.concat(*plain) if len(plain) > 1 else plain[0]
-        result = searched.select(*keep, F.inline(merged))
-    if "CRYPTO" in entities:
-        # Only lines that hold a candidate cross into Python.
-        found = (
-            searched.filter(F.col("line").rlike(PATTERNS["CRYPTO"]))
-            .withColumn("_found", matches("CRYPTO"))
-            .withColumn("_ok", F.explode(_base58_flags("_found")))
-            .select(
-                *keep,
-                F.lit("CRYPTO").alias("entity"),
-                F.when(F.col("_ok"), F.lit(VALID)).otherwise(F.lit(FORMAT_ONLY)).alias("score"),
-            )
-        )
-        result = found if result is None else result.unionByName(found)
-    return result
+    """Every match with its score: one pass over the lines, narrow, no shuffle."""
+    found = [scored(e) for e in entities]
+    return lines(corpus).select("document", "source", "line_no", F.inline(F.concat(*found) if len(found) > 1 else found[0]))
 
 
 def findings(corpus: DataFrame, entities: tuple[str, ...] = ENTITIES) -> DataFrame:

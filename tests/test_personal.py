@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
+from asterline.functions import scalars
 from asterline.operators import personal as P
 
 
@@ -19,7 +21,7 @@ def base58(payload: bytes) -> str:
     number, out = int.from_bytes(raw, "big"), ""
     while number:
         number, digit = divmod(number, 58)
-        out = P._BASE58[digit] + out
+        out = scalars.BASE58[digit] + out
     return "1" * (len(raw) - len(raw.lstrip(b"\0"))) + out
 
 
@@ -85,3 +87,15 @@ def test_source_without_text_is_unknown(spark):
 def test_skipped_files(spark):
     files = spark.createDataFrame([("a/x.PNG",), ("uv.lock",), ("a/flake.lock",), ("a/b.py",)], "path string")
     assert [r.path for r in P.scannable(files).collect()] == ["a/b.py"]
+
+
+def test_base58_checksums(spark):
+    """Valid ones of both kinds, with leading zeros and at the ends of the range; each with a digit changed, one less, one more."""
+    digits = scalars.BASE58
+    payloads = [b"\0" * 21, b"\0" * 5 + bytes(range(16)), b"\x05" + b"\xff" * 20, b"\xff" * 21, *(bytes((i * 37 + k * 11) % 256 for k in range(21)) for i in range(20))]
+    good = [base58(p) for p in payloads]
+    bad = [g[:-1] + digits[(digits.index(g[-1]) + 1) % 58] for g in good] + ["1" + g for g in good] + [g[:-1] for g in good]
+    bad += ["z" * 34, "z" * 40, "1" * 25, "2"]
+    rows = spark.createDataFrame([(t, i < len(good)) for i, t in enumerate(good + bad)], "t string, valid boolean")
+    found = rows.select("t", "valid", scalars.base58_valid(F.col("t")).alias("got")).collect()
+    assert [r.t for r in found if r.got != r.valid] == []
