@@ -6,10 +6,13 @@ Documents are sets of distinct word shingles; two link if they share at least 3/
 2. Shingles have one order for all: rare first. Classes that link share one of their first n - ceil(3n/4) + 1
    shingles, so they meet in the list of such a shingle. The order decides the work, never the result; it comes from
    counts that each task gathers from its part of the corpus, of which the most frequent are handed to all tasks.
+   Long lists are of few kinds: copies of one text share many shingles, each with nearly the same members. Lists that agree in
+   their first members by two hashes are merged into one, so their pairs do not come once for each shingle.
 3. Each list becomes a signature tree: nodes hold the OR of their members' bitmaps, the range of their sizes and the most
    shingles that one member's bitmap hides. A dual traversal drops every pair of nodes that cannot reach the
    overlap that their least sizes need, and ends in candidate pairs of members.
-4. Candidates are verified on whole sets, and links become components. First only the best candidates of each member are
+4. Candidates are first bounded by the counts of their shingles in BUCKETS buckets, which also tell large sets apart; what can
+   still link is verified on whole sets, and links become components. First only the best candidates of each member are
    verified; then all candidates between classes that are not yet connected. A long list is cut into blocks,
    one task for each pair of blocks.
 
@@ -38,6 +41,9 @@ FAN = 8
 BLOCK = 2048
 #: Shingles known as frequent: at most so many, the most frequent, met twice in some task's part of the corpus.
 FREQUENT = 1 << 17
+#: Buckets of a sketch, and bits of the bitmap of shingles with long lists (LEAF members or more).
+BUCKETS = 4096
+LONG_BITS = 24
 #: Best candidates of each member that are verified before the rest.
 BEST = 1
 
@@ -56,6 +62,25 @@ def signature(hashes):
     return np.packbits(bits, bitorder="little").view(np.uint64), len(hashes) - int(bits.sum())
 
 
+def sketch(hashes) -> bytes:
+    """How many of the hashes fall into each bucket, compressed byte by byte of equal rank."""
+    import numpy as np
+    import zstandard
+
+    counts = np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def reachable(one: bytes, two: bytes) -> bool:
+    """Whether sets of these sketches can link: what they share is in equal buckets, at most the lesser count of each."""
+    import numpy as np
+    import zstandard
+
+    whole = zstandard.ZstdDecompressor().decompress
+    a, b = (np.ascontiguousarray(np.frombuffer(whole(x), np.uint8).reshape(4, -1).T).view("<u4").astype(np.int64) for x in (one, two))
+    return int(np.minimum(a, b).sum()) >= needed(int(a.sum()), int(b.sum()))
+
+
 class Tree:
     """A signature tree over sets given by size, hidden shingles and bitmap; members in the order given."""
 
@@ -229,25 +254,35 @@ def sets(docs: DataFrame, known, ident: str = "doc_id", text: str = "text") -> D
 
 
 def lists(classes: DataFrame) -> DataFrame:
-    """(list, n, node): classes that share a shingle of their prefix, each different list once; long ones as pairs of blocks."""
+    """(list, n, node): classes that share a shingle of their prefix, each different list once, long ones merged and as pairs of blocks."""
     shared = classes.select(F.explode("first").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(shared, "jaccard-shared")
-    met = bitmap(shared, "token")
-
-    def some(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        # Most shingles occur once; those that cannot be shared do not reach the shuffle.
-        for batch in batches:
-            first = batch.column(1)
-            token = first.flatten().to_numpy()
-            node = np.repeat(batch.column(0).to_numpy(), np.diff(first.offsets.to_numpy()))
-            keep = marked(met.value, token)
-            yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(token[keep])], names=["node", "token"])
-
-    tokens = classes.select("node", "first").mapInArrow(some, "node long, token long")
-    found = tokens.join(shared, "token").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    met, often = bitmap(shared, "token"), bitmap(shared.where(F.col("n") >= LEAF), "token", LONG_BITS)
+
+    def members_of(long):
+        def some(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            # Most shingles occur once; those that cannot be shared do not reach the shuffle.
+            for batch in batches:
+                first = batch.column(1)
+                token = first.flatten().to_numpy()
+                node = np.repeat(batch.column(0).to_numpy(), np.diff(first.offsets.to_numpy()))
+                keep = marked(met.value, token) & (marked(often.value, token) == long)
+                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(token[keep])], names=["node", "token"])
+
+        tokens = classes.select("node", "first").mapInArrow(some, "node long, token long")
+        return tokens.join(shared, "token").select("token", "node", "n")
+
+    # The bitmap may let short lists through to the long ones.
+    long = stored(members_of(True), "jaccard-long")
+    firsts = long.where(F.col("n") >= LEAF).groupBy("token").agg(
+        F.min(F.xxhash64("node")).alias("one"), F.min(F.xxhash64("node", F.lit(1))).alias("two"))
+    merged = stored(long.join(firsts, "token").select(F.xxhash64("one", "two").alias("token"), "node").distinct(), "jaccard-merged")
+    merged = merged.join(merged.groupBy("token").agg(F.count("*").alias("n")), "token")
+    found = members_of(False).unionByName(long.where(F.col("n") < LEAF)).unionByName(merged)
+    found = found.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     # Block pairs (i, j) with i <= j that this member belongs to.
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
@@ -309,6 +344,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
     """
     ends = [classes.select(F.col("node").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("tie").alias(f"{x}_tie")) for x in "ab"]
     pairs = stored(pairs.join(ends[0], "a").join(ends[1], "b"), "jaccard-ends")
+    named = pairs.columns
     wanted = F.array(*[F.xxhash64(f"{x}_doc", f"{x}_tie") for x in "ab"])
     met = bitmap(pairs.select(F.explode(wanted).alias("key")), "key")
 
@@ -321,8 +357,17 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
             batch = batch.filter(pa.array(marked(met.value, batch.column(3).to_numpy())))
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
-                packed = [small((t or "").encode()) for t in some.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(packed, pa.binary())], names=["doc_id", "tie", "packed"])
+                data = [(t or "").encode() for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[:2], *[pa.array([f(x) for x in data], pa.binary()) for f in (small, lambda x: sketch(shingles(x)))]],
+                    names=["doc_id", "tie", "packed", "sketch"])
+
+    def bound(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = [reachable(x, y) for x, y in zip(*(batch.column(c).to_pylist() for c in ("sa", "sb")))]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(named)
 
     def verify(batches):
         import numpy as np
@@ -340,12 +385,19 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
 
     keyed = _text(docs, ident, text).withColumn("key", F.xxhash64("doc_id", "tie"))
     # A row repeated with id and text stands for its class once.
-    texts = stored(keyed.mapInArrow(pack, "doc_id long, tie long, packed binary").dropDuplicates(["doc_id", "tie"]), "jaccard-texts")
-    for x in "ab":
-        side = texts.select(F.col("doc_id").alias("s_doc"), F.col("tie").alias("s_tie"), F.col("packed").alias(f"s{x}"))
-        on = F.col(f"{x}_doc").eqNullSafe(F.col("s_doc")) & (F.col(f"{x}_tie") == F.col("s_tie"))
-        pairs = pairs.join(side, on).drop("s_doc", "s_tie")
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
+    texts = keyed.mapInArrow(pack, "doc_id long, tie long, packed binary, sketch binary").dropDuplicates(["doc_id", "tie"])
+    texts = stored(texts, "jaccard-texts")
+
+    def brought(pairs, what):
+        for x in "ab":
+            side = texts.select(F.col("doc_id").alias("s_doc"), F.col("tie").alias("s_tie"), F.col(what).alias(f"s{x}"))
+            on = F.col(f"{x}_doc").eqNullSafe(F.col("s_doc")) & (F.col(f"{x}_tie") == F.col("s_tie"))
+            pairs = pairs.join(side, on).drop("s_doc", "s_tie")
+        return pairs
+
+    # Sketches are a small part of texts: what they rule out brings no text.
+    near = stored(brought(pairs, "sketch").mapInArrow(bound, pairs.schema), "jaccard-near")
+    return brought(near, "packed").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
 
 
 def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

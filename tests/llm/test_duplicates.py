@@ -160,6 +160,37 @@ def test_join_of_many_near_copies_over_blocks(spark, monkeypatch):
     assert classes(frame) == in_order(joined_by_brute_force(rows))
 
 
+def test_lists_of_nearly_the_same_members_are_merged(spark):
+    """31 shingles, each with all of 24 classes but one: their pairs came once for each of 24 different lists."""
+    tokens = {t: [c for c in range(24) if c != t % 24] for t in range(31)} | {100: [1, 30], 101: [2, 31, 32]}
+    first = defaultdict(list)
+    for t, members in tokens.items():
+        for c in members:
+            first[c].append(t * 7919)
+    listed = defaultdict(set)
+    for r in jaccard.lists(spark.createDataFrame(sorted(first.items()), "node long, first array<long>")).collect():
+        listed[r["list"]].add(r.node)
+    met = {(a, b) for members in listed.values() for a in members for b in members}
+    assert met >= {(a, b) for members in tokens.values() for a in members for b in members}
+    assert len(listed) <= 2 + 8
+
+
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(8)
+    for n, share in ((3, 1.0), (300, 0.9), (300, 0.72), (5000, 0.87), (5000, 0.5), (70_000, 0.9)):
+        both = int(n * share)
+        pool = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        one, two = pool[:n], np.concatenate([pool[:both], pool[n : 2 * n - both]])
+        if both >= jaccard.needed(n, n):
+            assert jaccard.reachable(jaccard.sketch(one), jaccard.sketch(two))
+    # Large sets fill their bitmaps, which let them through; their sketches tell them apart.
+    one, two = (np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64)) for _ in range(2))
+    bits, hidden = (np.array(x) for x in zip(*map(jaccard.signature, (one, two))))
+    size = np.array([len(one), len(two)])
+    assert jaccard.possible(size, size, hidden, bits, np.array([0]), np.array([1])).all()
+    assert not jaccard.reachable(jaccard.sketch(one), jaccard.sketch(two))
+
+
 def test_tree_drops_no_link():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400).astype(np.uint64)
