@@ -12,7 +12,9 @@ id, then by start. The result is exact; Spark brings together what can be equal,
    arrays only see different snippets, of grams with at least two of them.
 4. Classes of one gram are a lane of a shard. Induced sorting gives the shard's suffix arrays, permuted common
    prefixes of at least WINDOW mark equal windows, and the first place of each stands.
-5. A gram with many classes is cut into lanes of LANE classes. What stays first within a lane meets the other
+5. Windows of a gram with more than LANE classes are parted by where the gram stands in them, in PARTS ranges of places. All windows of a
+   part hold a longer gram around the anchor, so each part is a snippet of that gram: steps 3 and 4 are taken again, and what
+   only shares the short gram is dropped. A longer gram with many classes is cut into lanes of LANE classes. What stays first within a lane meets the other
    lanes' by the window's hash.
 
 Null and empty texts have nothing to remove. Null ids come before all others. Rows with equal ids count as one document
@@ -34,6 +36,8 @@ WINDOW = 100
 GRAM = 36
 #: Starts whose grams are compared: each window holds so many.
 SPAN = WINDOW - GRAM + 1
+#: Ranges of places of a frequent gram in its windows.
+PARTS = 4
 #: Classes of a lane.
 LANE = 128
 #: Bytes of a batch of lanes, places included.
@@ -125,14 +129,53 @@ def _snippets(rows: DataFrame) -> DataFrame:
                     gram, content, start, starts, anchor = tool.snippets(data)
                     keep = marked(table, gram)
                     s, k = start[keep], starts[keep]
-                    cols.append((gram[keep].view(np.int64), content[keep].view(np.int64), np.full(len(s), doc, np.int64), np.full(len(s), tie, np.int64), s, k))
+                    ids = np.full(len(s), doc, np.int64), np.full(len(s), tie, np.int64)
+                    cols.append((gram[keep].view(np.int64), content[keep].view(np.int64), *ids, s, k, anchor[keep]))
                     contents += [data[x : x + y] for x, y in zip(s.tolist(), (k + WINDOW - 1).tolist())]
-                cols = [np.concatenate(c) for c in zip(*cols)] if cols else [np.zeros(0, np.int64)] * 6
+                cols = [np.concatenate(c) for c in zip(*cols)] if cols else [np.zeros(0, np.int64)] * 7
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(contents, pa.binary())],
-                                                 names=["gram", "content", "doc", "tie", "start", "starts", "data"])
+                                                 names=["gram", "content", "doc", "tie", "start", "starts", "anchor", "data"])
 
     return rows.mapInArrow(
-        cut, "gram long, content long, doc long, tie long, start long, starts long, data binary")
+        cut, "gram long, content long, doc long, tie long, start long, starts long, anchor long, data binary")
+
+
+def _parted(heads: DataFrame) -> DataFrame:
+    """Snippets of longer grams: the starts of each snippet by the range of places that its anchor has in their windows."""
+    edges = [SPAN * i // PARTS for i in range(PARTS + 1)]
+    ranges = F.array(*[F.struct(F.lit(a).alias("least"), F.lit(b - 1).alias("most")) for a, b in zip(edges, edges[1:])])
+    # Starts low to high have the anchor at the places least to most; each of their windows holds the longer gram.
+    rows = heads.withColumn("r", F.explode(ranges)).withColumn("low", F.expr("greatest(0L, anchor - r.most)"))
+    rows = rows.withColumn("high", F.expr("least(starts - 1, anchor - r.least)")).where("low <= high")
+    rows = rows.withColumn("longer", F.expr(f"substring(data, CAST(anchor - r.least + 1 AS INT), CAST({WINDOW} - r.most + r.least AS INT))"))
+    rows = rows.withColumn("data", F.expr(f"substring(data, CAST(low + 1 AS INT), CAST(high - low + {WINDOW} AS INT))"))
+    return rows.select(F.xxhash64("r.least", "longer").alias("gram"), F.xxhash64("data").alias("content"), "doc", "tie",
+                       (F.col("start") + F.col("low")).alias("start"), (F.col("high") - F.col("low") + 1).alias("starts"), "data")
+
+
+def _sorted_out(snippets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans of snippets that are met earlier as a whole, and the first snippet of each class of grams with several `classes`."""
+    key = ["gram", "content"]
+    classes = stored(
+        snippets.groupBy(*key).agg(F.min(F.struct("doc", "start", "tie")).alias("first"), F.count("*").alias("n")), "repeat-classes"
+    )
+    whole = (
+        snippets.drop("data").join(classes.where("n > 1").select(*key, "first"), key)
+        .where("struct(first.doc, first.start) < struct(doc, start)")
+        .select("doc", "tie", "start", (F.col("start") + F.col("starts") + WINDOW - 1).alias("stop"))
+    )
+    mixed = stored(classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1"), "repeat-mixed")
+    heads = classes.join(mixed, "gram").select(*key, "classes", "first.doc", "first.start")
+    met = bitmap(mixed, "gram")
+
+    def some(batches):
+        import pyarrow as pa
+
+        # Bytes of snippets that no suffix array needs do not reach the shuffle.
+        for batch in batches:
+            yield batch.filter(pa.array(marked(met.value, batch.column(0).to_numpy())))
+
+    return whole, snippets.mapInArrow(some, snippets.schema).join(heads, [*key, "doc", "start"])
 
 
 def repeated_windows(lanes, docs, starts, counts):
@@ -257,28 +300,12 @@ def covered(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataF
     rows = docs.select(F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tie"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"))
     snippets = stored(_snippets(rows.where(F.octet_length("data") >= WINDOW)), "repeat-snippets")
-    key = ["gram", "content"]
-    classes = stored(
-        snippets.groupBy(*key).agg(F.min(F.struct("doc", "start", "tie")).alias("first"), F.count("*").alias("n")), "repeat-classes"
-    )
-    whole = (
-        snippets.drop("data").join(classes.where("n > 1").select(*key, "first"), key)
-        .where("struct(first.doc, first.start) < struct(doc, start)")
-        .select("doc", "tie", "start", (F.col("start") + F.col("starts") + WINDOW - 1).alias("stop"))
-    )
-    mixed = stored(classes.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1"), "repeat-mixed")
-    heads = classes.join(mixed, "gram").select(*key, "classes", "first.doc", "first.start")
-    met = bitmap(mixed, "gram")
-
-    def some(batches):
-        import pyarrow as pa
-
-        # Bytes of snippets that no suffix array needs do not reach the shuffle.
-        for batch in batches:
-            yield batch.filter(pa.array(marked(met.value, batch.column(0).to_numpy())))
-
-    parts = _matches(snippets.mapInArrow(some, snippets.schema).join(heads, [*key, "doc", "start"]))
-    spans = whole.unionByName(parts)
+    whole, heads = _sorted_out(snippets)
+    heads = stored(heads, "repeat-heads")
+    again, parts = _sorted_out(_parted(heads.where(F.col("classes") > LANE)))
+    columns = ["gram", "content", "classes", "doc", "tie", "start", "starts", "data"]
+    parts = _matches(heads.where(F.col("classes") <= LANE).select(*columns).unionByName(parts.select(*columns)))
+    spans = whole.unionByName(again).unionByName(parts)
     return spans.groupBy("doc", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 

@@ -93,6 +93,28 @@ def test_repeats_beyond_one_lane(spark, monkeypatch):
     assert removed(frame) == sorted(removed_by_brute_force(rows))
 
 
+def test_windows_that_share_a_short_phrase_stay_inside(spark, monkeypatch):
+    """A phrase of 50 bytes in 60 texts: all that stood first in a lane left as rows of their own, one for each start."""
+    rng = np.random.default_rng(6)
+    noise = lambda n: "".join(rng.choice(list("abcdefghij "), n))
+    phrase, passage = noise(50), noise(130)
+    rows = [(i, noise(150) + phrase + noise(150)) for i in range(60)] + [(100 + i, noise(20) + passage + phrase + noise(90 + i)) for i in range(12)]
+    monkeypatch.setattr(repeats, "LANE", 8)
+    made, plain = [], repeats.stored
+
+    def kept(df, label):
+        out = plain(df, label)
+        if label == "repeat-matches":
+            made.append(out.where("one IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(repeats, "stored", kept)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removed(frame) == sorted(removed_by_brute_force(rows))
+    # Only the dozen with a passage in common may meet by rows.
+    assert sum(made) < 12 * 120
+
+
 # Jaccard join
 
 
