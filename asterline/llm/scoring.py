@@ -77,8 +77,8 @@ def spread(data: bytes, height: int, n: int):
     return np.ascontiguousarray(flat.T).view(np.int64).reshape(height, n)
 
 
-def counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """Documents (id, text, target) in batches, and each batch's counts by bucket.
+def counted(docs: DataFrame, buckets: int, met) -> DataFrame:
+    """Documents (id, text, target, label) in batches, and each batch's counts by bucket; rows whose label may be in met stay out.
 
     Counts are rows of `n` numbers: of target and background, of words also as the first of a pair.
     """
@@ -118,6 +118,9 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
 
         slices, parts, chosen, size = [], [], [], 0
         for rows_of in rows:
+            label = rows_of.column(3)
+            named = may_be_in(met.value, label.fill_null(0).to_numpy())
+            rows_of = rows_of.filter(pa.array(~named | label.is_null().to_numpy(zero_copy_only=False)))
             texts = rows_of.select([0, 1])
             start = 0
             for i, (t, own) in enumerate(zip(rows_of.column(1).to_pylist(), rows_of.column(2).to_pylist())):
@@ -206,6 +209,25 @@ def losses(vocabulary: int, total: int, words, firsts, pairs):
     return -np.log(weight * (pairs / np.maximum(firsts, 1)) + (1 - weight) * single)
 
 
+def flagged(docs: DataFrame, marked: DataFrame, met, ident: str, text: str) -> DataFrame:
+    """(id, text, target, label): rows that meet the labels, and all rows with the hash by which counted leaves out those that did.
+
+    Texts that no label names go to one Python worker of a task only, and stay out of the shuffle.
+    """
+    kind = docs.select(ident).schema[0].dataType.simpleString()
+
+    def sift(rows):
+        import pyarrow as pa
+
+        for some in rows:
+            yield some.select([0, 1]).filter(pa.array(may_be_in(met.value, some.column(2).to_numpy())))
+
+    sifted = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"), F.xxhash64(ident).alias("label"))
+    some = sifted.mapInArrow(sift, f"id {kind}, text string").join(marked, F.col("id") == F.col("label_id"), "left")
+    some = some.select("id", "text", F.col("label_id").isNotNull().alias("target"), F.lit(None).cast("long").alias("label"))
+    return sifted.select("id", "text", F.lit(False).alias("target"), "label").unionByName(some)
+
+
 def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", chosen: str = "quality = 1") -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) of every row; losses are means over the tokens."""
     kind = docs.select(ident).schema[0].dataType.simpleString()
@@ -214,18 +236,7 @@ def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str
     marked = labels.where(chosen).select(F.col(ident).alias("label_id")).where("label_id IS NOT NULL").distinct()
     met = bitmap(marked.select(F.xxhash64(F.col("label_id").cast(kind)).alias("label")), "label")
 
-    def sift(rows):
-        import pyarrow as pa
-
-        for some in rows:
-            yield pa.RecordBatch.from_arrays(
-                [*some.columns[:2], pa.array(may_be_in(met.value, some.column(2).to_numpy()))], names=["id", "text", "target"])
-
-    # Only texts that a label may name meet the labels; the rest stay out of the shuffle.
-    sifted = docs.select(ident, text, F.xxhash64(ident)).mapInArrow(sift, f"id {kind}, text string, target boolean")
-    some = sifted.where("target").join(marked, F.col("id") == F.col("label_id"), "left")
-    flagged = sifted.where("NOT target").unionByName(some.select("id", "text", F.col("label_id").isNotNull().alias("target")))
-    rows = stored(counted(flagged, buckets), "scoring-counts")
+    rows = stored(counted(flagged(docs, marked, met, ident, text), buckets, met), "scoring-counts")
     answers = stored(answered(rows.where(F.col("kind") != DOCUMENT), buckets), "scoring-answers")
     vocabulary, *sizes = totals(answers)
 

@@ -340,3 +340,14 @@ def test_scores_of_odd_rows(spark, odd, empty):
         assert (r.score is None) == (r.n_tokens == 0) and (r.score is None or math.isfinite(r.score))
     assert scoring.scored(empty, labels).collect() == []
     assert len(scoring.scored(odd, labels.where("false")).collect()) == odd.count()
+
+
+def test_texts_are_counted_by_one_python_worker_of_a_task(odd):
+    """Rows passed a worker that sifted and one that counted in each task, which both kept their memory."""
+    marked = odd.select(F.col("doc_id").alias("label_id")).where("doc_id IN (1, 6)").distinct()
+    met = scoring.bitmap(marked.select(F.xxhash64("label_id").alias("label")), "label")
+    rows = scoring.flagged(odd, marked, met, "doc_id", "text")
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    found = scoring.counted(rows, 1, met).where(F.col("kind") == scoring.DOCUMENT).agg(F.sum("n")).first()[0]
+    assert found == odd.count()
