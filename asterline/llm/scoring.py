@@ -6,11 +6,14 @@ A document's score is the mean over its tokens of target loss minus background l
 Both models are interpolated bigrams with add-one unigrams. Every word and every pair of words has counts of its own, by its
 64-bit hash, however many there are. The unigram's vocabulary is the corpus's distinct words, and at least 2**WORD_BITS.
 
-1. Each task takes its documents in batches of about BATCH tokens and counts the distinct words and pairs of each.
+1. Each task takes its documents in batches of about BATCH tokens and counts the distinct words and pairs of each. A batch's documents
+   are one file in the shared folder; only its path travels with the counts.
 2. Counts are dealt by ranges of hashes into buckets, whose number follows the size of the corpus. A bucket sums up each word and
    pair over all batches, and answers each batch with the sums of its own. A word or pair is in a bucket once for each batch, so
    the most frequent ones weigh no more than rare ones.
-3. Each batch meets its answers and scores its documents. No model is ever in one place.
+3. A batch's answers meet in one task, which reads its file and scores its documents. No model is ever in one place.
+
+A task that runs again makes the same batches, as long as the table's partitions give their rows in the same order.
 
 Null and empty texts have no tokens, no losses and no score (null). Null ids are scored like others. Labels without a document
 count for nothing, repeated labels count once. Without any target document the target model is the uniform one.
@@ -24,8 +27,9 @@ from pyspark.sql import functions as F
 
 from asterline.llm.bitmaps import bitmap
 from asterline.llm.bitmaps import marked as may_be_in
+from asterline.llm.files import whole_file
 from asterline.llm.textparts import mix, word_hashes
-from asterline.session import stored
+from asterline.session import scratch, stored
 
 #: The unigrams' vocabulary has at least so many words, as a power of two.
 WORD_BITS = 18
@@ -34,10 +38,17 @@ PAIR_WEIGHT = 0.6
 #: Tokens of a batch, and bytes of text for each bucket of counts.
 BATCH = 3 << 19
 BUCKET = 16 << 20
-#: Kinds of rows: counts of words, counts of pairs, documents; sums of a bucket.
+#: Kinds of rows: counts of words, counts of pairs, path of the documents; sums of a bucket.
 WORDS, PAIRS, DOCUMENT, SUMS = range(4)
 
 
+def utf8(column):
+    """The bytes of each text of an Arrow column, one at a time; null ones have none."""
+    for text in column:
+        data = text.as_buffer()
+        yield data.to_pybytes() if data else b""
+
+
 def slots(text: bytes):
     """Hashes of words, of the word before each (0 before the first), and of the pairs."""
     import numpy as np
@@ -80,8 +91,10 @@ def spread(data: bytes, height: int, n: int):
 def counted(docs: DataFrame, buckets: int, met) -> DataFrame:
     """Documents (id, text, target, label) in batches, and each batch's counts by bucket; rows whose label may be in met stay out.
 
-    Counts are rows of `n` numbers: of target and background, of words also as the first of a pair.
+    Counts are rows of `n` numbers: of target and background, of words also as the first of a pair. A batch's documents are `n` rows of
+    the file whose path stands in place of counts.
     """
+    folder = scratch(docs.sparkSession, "scoring-texts")
 
     def count(rows):
         import numpy as np
@@ -93,13 +106,13 @@ def counted(docs: DataFrame, buckets: int, met) -> DataFrame:
         names = ["batch", "kind", "bucket", "n", "hashes", "counts"]
 
         def emit(slices, parts, chosen):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, slices[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+            path, options = f"{folder}/{batch}.arrow", pa.ipc.IpcWriteOptions(compression="zstd")
+            with whole_file(path) as out, pa.ipc.new_stream(out, slices[0].schema, options=options) as to:
                 for x in slices:
                     to.write_batch(x)
             yield pa.RecordBatch.from_arrays([
-                pa.array([batch]), pa.array([DOCUMENT], pa.int32()), pa.nulls(1, pa.int64()), pa.array([len(parts)]),
-                pa.nulls(1, pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=names)
+                pa.array([batch]), pa.array([DOCUMENT], pa.int32()), pa.array([(batch >> 32) % buckets]), pa.array([len(parts)]),
+                pa.nulls(1, pa.binary()), pa.array([path.encode()], pa.binary())], names=names)
             sizes = [len(p[0]) for p in parts]
             if not sum(sizes):
                 return
@@ -123,8 +136,8 @@ def counted(docs: DataFrame, buckets: int, met) -> DataFrame:
             rows_of = rows_of.filter(pa.array(~named | label.is_null().to_numpy(zero_copy_only=False)))
             texts = rows_of.select([0, 1])
             start = 0
-            for i, (t, own) in enumerate(zip(rows_of.column(1).to_pylist(), rows_of.column(2).to_pylist())):
-                parts.append(slots((t or "").encode()))
+            for i, (t, own) in enumerate(zip(utf8(rows_of.column(1)), rows_of.column(2).to_pylist())):
+                parts.append(slots(t))
                 chosen.append(own)
                 size += len(parts[-1][0])
                 if size >= BATCH:
@@ -140,7 +153,10 @@ def counted(docs: DataFrame, buckets: int, met) -> DataFrame:
 
 
 def answered(counts: DataFrame, buckets: int) -> DataFrame:
-    """For each batch and bucket the sums over all batches, in the order of the batch's hashes; of each bucket of words its totals."""
+    """For each batch and bucket the sums over all batches, in the order of the batch's hashes; of each bucket of words its totals.
+
+    Paths of documents are handed on.
+    """
 
     def add(rows):
         import numpy as np
@@ -148,6 +164,9 @@ def answered(counts: DataFrame, buckets: int) -> DataFrame:
 
         def solved(key, group):
             kind, bucket = key
+            batch, n = [g[0] for g in group], [g[1] for g in group]
+            if kind == DOCUMENT:
+                return told(batch, [kind] * len(group), bucket, n, [own.to_pybytes() for *_, own in group])
             height = 4 if kind == WORDS else 2
             hashes = [np.cumsum(spread(h, 1, n)[0].view(np.uint64), dtype=np.uint64) for _, n, h, _ in group]
             _, at = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -155,12 +174,14 @@ def answered(counts: DataFrame, buckets: int) -> DataFrame:
             # Sums of doubles are exact below 2**53.
             sums = np.stack([np.bincount(at, weights=row) for row in own]).astype(np.int64)
             ends = np.cumsum([len(h) for h in hashes])
-            batch, n = [g[0] for g in group], [g[1] for g in group]
             found = [squeezed(sums[:, at[e - len(h) : e]]) for h, e in zip(hashes, ends)]
             kinds = [kind] * len(group)
             if kind == WORDS:
                 batch.append(-1), kinds.append(SUMS), n.append(3)
                 found.append(squeezed(np.array([np.count_nonzero(sums[1]), sums[0].sum(), sums[1].sum()], np.int64)))
+            return told(batch, kinds, bucket, n, found)
+
+        def told(batch, kinds, bucket, n, found):
             return pa.RecordBatch.from_arrays(
                 [pa.array(batch, pa.int64()), pa.array(kinds, pa.int32()), pa.array([bucket] * len(batch), pa.int64()), pa.array(n, pa.int64()),
                  pa.array(found, pa.binary())],
@@ -168,12 +189,12 @@ def answered(counts: DataFrame, buckets: int) -> DataFrame:
 
         key, group = None, []
         for some in rows:
-            for batch, kind, bucket, n, hashes, own in zip(*(c.to_pylist() for c in some.columns)):
+            for batch, kind, bucket, n, hashes, own in zip(*(c.to_pylist() for c in some.columns[:4]), *some.columns[4:]):
                 if (kind, bucket) != key:
                     if group:
                         yield solved(key, group)
                     key, group = (kind, bucket), []
-                group.append((batch, n, hashes, own))
+                group.append((batch, n, hashes.as_buffer(), own.as_buffer()))
         if group:
             yield solved(key, group)
 
@@ -212,7 +233,8 @@ def losses(vocabulary: int, total: int, words, firsts, pairs):
 def flagged(docs: DataFrame, marked: DataFrame, met, ident: str, text: str) -> DataFrame:
     """(id, text, target, label): rows that meet the labels, and all rows with the hash by which counted leaves out those that did.
 
-    Texts that no label names go to one Python worker of a task only, and stay out of the shuffle.
+    Texts that no label names go to one Python worker of a task only, and stay out of the shuffle. Those that meet the labels do so in a
+    merge join, however few labels there are: else sifting and counting would be two workers of one task, which both keep their memory.
     """
     kind = docs.select(ident).schema[0].dataType.simpleString()
 
@@ -223,8 +245,10 @@ def flagged(docs: DataFrame, marked: DataFrame, met, ident: str, text: str) -> D
             yield some.select([0, 1]).filter(pa.array(may_be_in(met.value, some.column(2).to_numpy())))
 
     sifted = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"), F.xxhash64(ident).alias("label"))
-    some = sifted.mapInArrow(sift, f"id {kind}, text string").join(marked, F.col("id") == F.col("label_id"), "left")
+    some = sifted.mapInArrow(sift, f"id {kind}, text string").join(marked.hint("merge"), F.col("id") == F.col("label_id"), "left")
     some = some.select("id", "text", F.col("label_id").isNotNull().alias("target"), F.lit(None).cast("long").alias("label"))
+    # A partition that is made again has its rows in the same order.
+    some = some.sortWithinPartitions("id", "text")
     return sifted.select("id", "text", F.lit(False).alias("target"), "label").unionByName(some)
 
 
@@ -236,16 +260,22 @@ def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str
     marked = labels.where(chosen).select(F.col(ident).alias("label_id")).where("label_id IS NOT NULL").distinct()
     met = bitmap(marked.select(F.xxhash64(F.col("label_id").cast(kind)).alias("label")), "label")
 
-    rows = stored(counted(flagged(docs, marked, met, ident, text), buckets, met), "scoring-counts")
-    answers = stored(answered(rows.where(F.col("kind") != DOCUMENT), buckets), "scoring-answers")
+    rows = counted(flagged(docs, marked, met, ident, text), buckets, met)
+    answers = stored(answered(rows, buckets), "scoring-answers")
     vocabulary, *sizes = totals(answers)
 
     def score(rows):
         import numpy as np
         import pyarrow as pa
-
-        def solved(found, slices):
-            parts = [slots((t or "").encode()) for s in slices for t in s.column(1).to_pylist()]
+        from pyarrow import fs
+
+        def solved(found, path, height):
+            store, at = fs.FileSystem.from_uri(path)
+            with store.open_input_file(at) as file:
+                slices = pa.ipc.open_stream(file).read_all().to_batches()
+            parts = [slots(t) for s in slices for t in utf8(s.column(1))]
+            if len(parts) != height:
+                raise RuntimeError("the file of a batch does not have its documents")
             n = np.array([len(p[0]) for p in parts], np.int64)
             means = [np.zeros(len(n)), np.zeros(len(n))]
             if n.sum():
@@ -271,16 +301,15 @@ def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str
 
         key, found = None, {}
         for some in rows:
-            for batch, kind, _, m, data in zip(*(c.to_pylist() for c in some.columns)):
+            for batch, kind, _, m, data in zip(*(c.to_pylist() for c in some.columns[:4]), some.column(4)):
                 if batch != key:
                     key, found = batch, {WORDS: [], PAIRS: []}
-                # A batch's documents come last.
+                # The path of a batch's documents comes last.
                 if kind == DOCUMENT:
-                    yield from solved(found, pa.ipc.open_stream(data).read_all().to_batches())
+                    yield from solved(found, data.as_py().decode(), m)
                 else:
-                    found[kind].append((m, data))
+                    found[kind].append((m, data.as_buffer()))
 
-    texts = rows.where(F.col("kind") == DOCUMENT).drop("hashes")
-    dealt = texts.unionByName(answers.where(F.col("kind") != SUMS)).repartition(buckets, "batch")
+    dealt = answers.where(F.col("kind") != SUMS).repartition(buckets, "batch")
     return dealt.sortWithinPartitions("batch", "kind", "bucket").mapInArrow(
         score, f"`{ident}` {kind}, n_tokens long, target_loss double, background_loss double, score double")

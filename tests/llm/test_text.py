@@ -351,3 +351,33 @@ def test_texts_are_counted_by_one_python_worker_of_a_task(odd):
     assert plan.count("MapInArrow") == 1
     found = scoring.counted(rows, 1, met).where(F.col("kind") == scoring.DOCUMENT).agg(F.sum("n")).first()[0]
     assert found == odd.count()
+
+
+def test_sifting_and_counting_are_no_two_workers_of_a_task_with_few_labels(odd):
+    """A few labels were broadcast, and rows then passed a worker that sifted and one that counted in one task."""
+    marked = odd.select(F.col("doc_id").alias("label_id")).where("doc_id IN (1, 6)").distinct()
+    met = scoring.bitmap(marked.select(F.xxhash64("label_id").alias("label")), "label")
+    rows = scoring.flagged(odd, marked, met, "doc_id", "text")
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_texts_of_batches_do_not_travel(odd):
+    """Texts were stored, and shuffled once more to meet the sums: only the path of a batch's file stands in its row."""
+    marked = odd.select(F.col("doc_id").alias("label_id")).where("doc_id IN (1, 6)").distinct()
+    met = scoring.bitmap(marked.select(F.xxhash64("label_id").alias("label")), "label")
+    found = scoring.counted(scoring.flagged(odd, marked, met, "doc_id", "text"), 1, met).where(F.col("kind") == scoring.DOCUMENT)
+    rows = found.collect()
+    assert rows and sum(r.n for r in rows) == odd.count()
+    assert all(bytes(r.counts).decode().endswith(f"/{r.batch}.arrow") for r in rows)
+    # Tasks that run again replace their files by their equals.
+    assert sorted(found.collect()) == sorted(rows)
+
+
+def test_scores_of_batches_without_words(spark):
+    rows = [(i, x) for i, x in enumerate([None, "", " \n"] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    got = scoring.scored(docs, labels).collect()
+    assert sorted(r.doc_id for r in got) == list(range(12)) and all(r.n_tokens == 0 and r.score is None for r in got)
