@@ -10,7 +10,10 @@ BITS = 27
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int = BITS):
-    """A broadcast array of 2**bits bits, set at the low bits of each hash. Its size does not follow the rows."""
+    """A broadcast array of 2**bits bits, set at the low bits of each hash. Its size does not follow the rows.
+
+    The driver and each executor that reads it keep a file of that size: destroy() it once what it was read for is stored.
+    """
     import numpy as np
 
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))

@@ -290,7 +290,9 @@ def lists(classes: DataFrame) -> DataFrame:
     members = found.select("token", F.explode(pairs).alias("p"), "node").groupBy("token", "p.i", "p.j").agg(
         F.sort_array(F.collect_list("node")).alias("nodes"))
     once = members.groupBy(F.xxhash64("nodes").alias("list"), F.size("nodes").alias("n")).agg(F.first("nodes").alias("nodes"))
-    return once.where("n > 1").select("list", "n", F.explode("nodes").alias("node"))
+    out = stored(once.where("n > 1").select("list", "n", F.explode("nodes").alias("node")), "jaccard-lists")
+    met.destroy(), often.destroy()
+    return out
 
 
 def _candidates(listed: DataFrame, classes: DataFrame, best: int | None) -> DataFrame:
@@ -387,6 +389,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
     # A row repeated with id and text stands for its class once.
     texts = keyed.mapInArrow(pack, "doc_id long, tie long, packed binary, sketch binary").dropDuplicates(["doc_id", "tie"])
     texts = stored(texts, "jaccard-texts")
+    met.destroy()
 
     def brought(pairs, what):
         for x in "ab":
@@ -414,7 +417,7 @@ def joined(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFr
     classes = stored(
         classes.select(*key, "rep.doc_id", "rep.tie", "least", "hidden", "bits", "first").withColumn(
             "node", F.monotonically_increasing_id()), "jaccard-classes")
-    listed = stored(lists(classes), "jaccard-lists")
+    listed = lists(classes)
     pairs = stored(_candidates(listed, classes.withColumn("component", F.col("node")), BEST), "jaccard-pairs")
     links = stored(_linked(pairs, classes, docs, ident, text), "jaccard-links")
     found = components(links)

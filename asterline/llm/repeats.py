@@ -136,8 +136,10 @@ def _snippets(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(contents, pa.binary())],
                                                  names=["gram", "content", "doc", "tie", "start", "starts", "anchor", "data"])
 
-    return rows.mapInArrow(
-        cut, "gram long, content long, doc long, tie long, start long, starts long, anchor long, data binary")
+    out = stored(rows.mapInArrow(
+        cut, "gram long, content long, doc long, tie long, start long, starts long, anchor long, data binary"), "repeat-snippets")
+    met.destroy()
+    return out
 
 
 def _parted(heads: DataFrame) -> DataFrame:
@@ -153,8 +155,9 @@ def _parted(heads: DataFrame) -> DataFrame:
                        (F.col("start") + F.col("low")).alias("start"), (F.col("high") - F.col("low") + 1).alias("starts"), "data")
 
 
-def _sorted_out(snippets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Spans of snippets that are met earlier as a whole, and the first snippet of each class of grams with several `classes`."""
+def _sorted_out(snippets: DataFrame):
+    """Spans of snippets that are met earlier as a whole, the first snippet of each class of grams with several `classes`, and
+    the bitmap that these are read by: to be destroyed when they are stored."""
     key = ["gram", "content"]
     classes = stored(
         snippets.groupBy(*key).agg(F.min(F.struct("doc", "start", "tie")).alias("first"), F.count("*").alias("n")), "repeat-classes"
@@ -175,7 +178,7 @@ def _sorted_out(snippets: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             yield batch.filter(pa.array(marked(met.value, batch.column(0).to_numpy())))
 
-    return whole, snippets.mapInArrow(some, snippets.schema).join(heads, [*key, "doc", "start"])
+    return whole, snippets.mapInArrow(some, snippets.schema).join(heads, [*key, "doc", "start"]), met
 
 
 def repeated_windows(lanes, docs, starts, counts):
@@ -299,12 +302,14 @@ def covered(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataF
     """(doc, tie, spans): for each id (null as NO_ID) and text hash the spans of bytes to remove, in order; they may overlap."""
     rows = docs.select(F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tie"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"))
-    snippets = stored(_snippets(rows.where(F.octet_length("data") >= WINDOW)), "repeat-snippets")
-    whole, heads = _sorted_out(snippets)
+    snippets = _snippets(rows.where(F.octet_length("data") >= WINDOW))
+    whole, heads, met = _sorted_out(snippets)
     heads = stored(heads, "repeat-heads")
-    again, parts = _sorted_out(_parted(heads.where(F.col("classes") > LANE)))
+    met.destroy()
+    again, parts, met = _sorted_out(_parted(heads.where(F.col("classes") > LANE)))
     columns = ["gram", "content", "classes", "doc", "tie", "start", "starts", "data"]
     parts = _matches(heads.where(F.col("classes") <= LANE).select(*columns).unionByName(parts.select(*columns)))
+    met.destroy()  # the matches are stored
     spans = whole.unionByName(again).unionByName(parts)
     return spans.groupBy("doc", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 

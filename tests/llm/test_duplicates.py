@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import defaultdict
 
 import numpy as np
@@ -197,6 +198,27 @@ def test_lists_of_nearly_the_same_members_are_merged(spark):
     assert len(listed) <= 2 + 8
 
 
+def test_bitmaps_go_when_what_reads_them_is_stored(docs, monkeypatch):
+    """Each is a file of the driver and of every executor, which stayed until the session's end."""
+    made, most = [], []
+
+    def noted(build):
+        def bitmap(*given):
+            made.append(build(*given))
+            most.append(sum(os.path.exists(b._path) for b in made))
+            return made[-1]
+
+        return bitmap
+
+    for module in (jaccard, repeats):
+        monkeypatch.setattr(module, "bitmap", noted(module.bitmap))
+    found, cut = jaccard.joined(docs), repeats.deduplicated(docs)
+    assert len(made) >= 6 and max(most) <= 2
+    assert not any(os.path.exists(b._path) for b in made)
+    # The results read none of them.
+    assert found.count() == cut.count() == docs.count()
+
+
 def test_sketches_bound_what_sets_share():
     rng = np.random.default_rng(8)
     for n, share in ((3, 1.0), (300, 0.9), (300, 0.72), (5000, 0.87), (5000, 0.5), (70_000, 0.9)):
