@@ -57,6 +57,29 @@ def dimensions(spark, seed):
     return S.dim_product(product_feed(seed)).cache(), S.dim_customer(customer_feed(seed)).cache()
 
 
+def judged_counts(lines, dimensions, seed):
+    placed = S.resolved_orders(seed.order, dimensions[1])
+    whole = S.fact_columns(S.asof_join(lines.join(placed, "order_id"), dimensions[0], "product_id", "ordered_at", ["product_key"]))
+    return whole.count(), whole.filter("NOT (quantity > 0 AND line_revenue >= 0)").count()
+
+
+def test_a_fact_stream_leaves_only_its_tables(spark, seed, lines, dimensions, slices, tmp_path):
+    want = rows(S.fact_order_line(lines, seed.order, *dimensions))
+    n, broken = judged_counts(lines, dimensions, seed)
+    zone = str(tmp_path / "lines")
+    lines.write.parquet(zone)
+    flow = flows.FactFlow(spark, str(tmp_path / "fact"), seed.order, *dimensions)
+    tables, files = kept(spark), shuffled(spark)
+    flow.run(spark.readStream.schema(lines.schema).parquet(zone))
+    assert kept(spark) == tables
+    assert not new_shuffles(spark, files)
+    assert rows(flow.fact()) == want
+    counts = {r.rule_id: (r.n_rows, r.failures, r.quarantined) for r in flows.rule_counts(spark, flow.target).collect()}
+    assert counts["measures_non_negative"] == (n, broken, broken) and 0 < broken < n
+    assert spark.read.parquet(f"{flow.target}/quarantine").count() == broken
+    assert not [d for d in os.listdir(f"{flow.target}/fact") if d.startswith(".batch")]
+
+
 def test_late_orders_leave_only_their_tables(spark, seed, lines, dimensions, slices, tmp_path):
     orders = seed.order.select("order_id", "customer_id", "ordered_at")
     line_zone, order_zone = str(tmp_path / "lines"), str(tmp_path / "orders")
@@ -75,6 +98,14 @@ def test_late_orders_leave_only_their_tables(spark, seed, lines, dimensions, sli
     assert rows(flow.fact()) == want
 
 
+def test_a_star_in_slices(spark, seed, lines, dimensions, slices, tmp_path):
+    tables = kept(spark)
+    star = S.build_star(spark, str(tmp_path), *dimensions, seed.order, lines)
+    assert kept(spark) == tables
+    assert sorted(os.listdir(tmp_path)) == ["dim_customer", "dim_date", "dim_product", "fact_order_line"]
+    assert rows(star.fact_order_line) == rows(S.fact_order_line(lines, seed.order, star.dim_product, star.dim_customer))
+
+
 def test_what_passes_goes_and_what_outlives_stays(spark):
     df, before = spark.range(4), kept(spark)
     with session.passing(spark):
