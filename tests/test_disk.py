@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 from test_history import customer_feed, product_feed
+from test_streams import arriving, frame
 
 from asterline import session
 from asterline.plans import star as S
@@ -106,6 +107,26 @@ def test_a_star_in_slices(spark, seed, lines, dimensions, slices, tmp_path):
     assert rows(star.fact_order_line) == rows(S.fact_order_line(lines, seed.order, star.dim_product, star.dim_customer))
 
 
+def test_a_dimension_stream_leaves_only_its_tables(spark, slices, tmp_path):
+    batches = [[(k, n, n + v) for k in (1, 2, 3, None) for n in range(b, 5 + b) for v in range(2)] for b in range(2)]
+    flow = flows.DimensionFlow(spark, str(tmp_path / "dim"), ["k"], "key", frame(spark, []).schema, [flows.Rule("v", "v < 10")])
+    zone = str(tmp_path / "zone")
+    tables, files = kept(spark), shuffled(spark)
+    for part in batches:
+        frame(spark, part).coalesce(1).write.mode("append").parquet(zone)
+        flow.run(arriving(spark, zone))
+    flow.materialize()
+    assert kept(spark) == tables
+    assert not new_shuffles(spark, files)
+    pairs = {(k, n) for b in batches for k, n, v in b if v < 10}
+    log = flow.log()
+    assert log.count() == len({r for b in batches for r in b if r[2] < 10})
+    assert log.where("key IS NOT NULL").count() == log.select("key").distinct().count() - 1
+    assert log.where("key IS NOT NULL").select("k", "updated_at").distinct().count() == len({p for p in pairs if p[0] is not None})
+    assert rows(flow.dimension()) == rows(flow.versions())
+    assert flow.dimension().count() == len(pairs)
+
+
 def test_what_passes_goes_and_what_outlives_stays(spark):
     df, before = spark.range(4), kept(spark)
     with session.passing(spark):
